@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -46,6 +48,19 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers of the session, once, so that they need no installation of it."""
+    context = spark.sparkContext
+    if getattr(context, "_cohortloom_shipped", False):
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="cohortloom-package-")  # on the driver, which serves it to the executors
+    package = shutil.make_archive(os.path.join(folder, "cohortloom"), "zip", os.path.dirname(here), os.path.basename(here))
+    context.addPyFile(package)
+    context._cohortloom_shipped = True
+
+
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     """One table of a data folder."""
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
