@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortloom.functions.keys import normal_key
+from cohortloom.session import cut_lineage
 
 # Types from the narrowest to the widest.
 TYPES = ["", "boolean", "integer", "decimal", "text", "list"]
@@ -245,17 +246,18 @@ def concept_names(clusters: DataFrame, limit: int = 10_000) -> dict[str, int]:
     return {r["name"].lower(): r["cluster_id"] for r in rows.limit(limit).collect()}
 
 
-def schema_changes(records: DataFrame, clusters: DataFrame) -> DataFrame:
+def schema_changes(records: DataFrame, clusters: DataFrame, fields: DataFrame | None = None) -> DataFrame:
     """(file_id, drift, old_name, new_name): every change of a file against the release before.
 
     drift is renamed, added (old_name empty), removed (new_name empty) or retyped.
     Records whose payload is null or no JSON object hold no fields; a file seen
     twice counts once; records without a cohort or sample add their fields but no
     evidence.  Of several files with one release number the one with the lowest id stands
-    for the release.  Extra columns aren't read.
+    for the release.  Extra columns aren't read.  ``fields`` are the records'
+    ``file_fields`` where these are at hand; else they are decoded once and written.
     """
     concepts = concept_names(clusters)
-    fields = file_fields(records)
+    fields = cut_lineage(file_fields(records)) if fields is None else fields
     statuses, evidence = field_evidence(fields)
 
     @F.pandas_udf("array<struct<old:string,new:string>>")

@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortloom.operators.drift import TYPES, file_fields, schema_changes
+from cohortloom.session import cut_lineage
 
 
-def unified_samples(records: DataFrame, clusters: DataFrame, changes: DataFrame | None = None) -> DataFrame:
+def unified_samples(records: DataFrame, clusters: DataFrame) -> DataFrame:
     """(gse_key, gsm_key, field, value, value_type, n_files, last_release): the values of all files under one field name.
 
     A field's name is its cluster's canonical name where known, else the last name a
@@ -16,17 +17,18 @@ def unified_samples(records: DataFrame, clusters: DataFrame, changes: DataFrame
     release counts; its type is the widest of the field in the cohort.  Null values
     give no row; records without a sample key give none.
     """
-    fields = file_fields(records).where("canon is not null and gsm_key is not null")
+    decoded = cut_lineage(file_fields(records))
+    changes = cut_lineage(schema_changes(records, clusters, decoded))
+    fields = decoded.where("canon is not null and gsm_key is not null")
     known = clusters.select("canonical_name", F.explode(F.concat(F.array("canonical_name"), F.coalesce("source_columns", F.array()))).alias("name")).where("name is not null")
     known = known.groupBy(F.lower("name").alias("name")).agg(F.min("canonical_name").alias("canonical"))
-    changes = schema_changes(records, clusters) if changes is None else changes
     where = fields.select("gse_key", "file_id", "release_no").distinct()
     renames = changes.where("drift = 'renamed'").join(where, "file_id").select("gse_key", F.col("release_no").alias("changed_at"), F.col("old_name").alias("field"), "new_name")
     # Each name's successor in its cohort; a chain is followed by doubling, so a chain of n renames needs log2(n) steps.
     step = renames.groupBy("gse_key", "field").agg(F.max_by("new_name", "changed_at").alias("next"), F.max("changed_at").alias("at"))
     back = step.select("gse_key", F.col("next").alias("field"), F.col("field").alias("from"), F.col("at").alias("back_at"))
     loops = step.join(back, ["gse_key", "field"], "left").where((F.col("next") == F.col("from")) & (F.col("at") < F.col("back_at"))).select("gse_key", "field")
-    step = step.join(loops, ["gse_key", "field"], "left_anti").select("gse_key", "field", "next")
+    step = cut_lineage(step.join(loops, ["gse_key", "field"], "left_anti").select("gse_key", "field", "next"))
     for _ in range(4):
         onward = step.select("gse_key", F.col("field").alias("next"), F.col("next").alias("next2"))
         step = step.join(onward, ["gse_key", "next"], "left").select("gse_key", "field", F.coalesce("next2", "next").alias("next"))
