@@ -5,11 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortloom.llm.mapping import map_values
 from cohortloom.llm.packing import pack_documents
 from cohortloom.llm.tokens import token_ids
 from cohortloom.session import load
 
 
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    """The canonical entry of every typed value and diagnosis, 0 if none is meant."""
+    entries = load(spark, d, "value_mapping_entry").select(F.lit("value_mapping_entry").alias("src_table"), "row_id", "concept", F.col("raw_value").alias("value"))
+    groups = load(spark, d, "sample_group").select(F.lit("sample_group").alias("src_table"), "row_id", F.lit("diagnosis").alias("concept"), F.col("diagnosis").alias("value"))
+    return map_values(entries.unionByName(groups), load(spark, d, "canonical_value"))
+
+
 def p7_ids(spark: SparkSession, d: str) -> DataFrame:
     """Ids of every document by byte_bpe_50k."""
     return token_ids(load(spark, d, "documents"))
@@ -25,5 +33,5 @@ def p8_containers(spark: SparkSession, d: str) -> DataFrame:
     return p8_packed(spark, d).groupBy("container_id").agg(F.count(F.lit(1)).alias("n_items"), F.sum("n_tokens").alias("n_used"))
 
 
-QUERIES = {f.__name__: f for f in (p7_ids, p8_packed, p8_containers)}
+QUERIES = {f.__name__: f for f in (p4_found, p7_ids, p8_packed, p8_containers)}
 SQL: dict[str, str] = {}
