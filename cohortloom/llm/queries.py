@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cohortloom.llm.mapping import map_values
 from cohortloom.llm.packing import pack_documents
+from cohortloom.llm.surrogates import entity_places, with_placeholders, with_surrogates
 from cohortloom.llm.tokens import token_ids
 from cohortloom.session import load
 
@@ -33,5 +34,24 @@ def p8_containers(spark: SparkSession, d: str) -> DataFrame:
     return p8_packed(spark, d).groupBy("container_id").agg(F.count(F.lit(1)).alias("n_items"), F.sum("n_tokens").alias("n_used"))
 
 
-QUERIES = {f.__name__: f for f in (p4_found, p7_ids, p8_packed, p8_containers)}
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    """Every mention of personal information with its kind and place."""
+    return entity_places(load(spark, d, "documents"))
+
+
+#: The secret of the example queries; a deployment passes its own.
+EXAMPLE_KEY = "example key"
+
+
+def p9_text(spark: SparkSession, d: str) -> DataFrame:
+    """All texts with typed placeholders."""
+    return with_placeholders(load(spark, d, "documents"), EXAMPLE_KEY)
+
+
+def p9_surrogates(spark: SparkSession, d: str) -> DataFrame:
+    """All texts with keyed surrogates in the place of personal information."""
+    return with_surrogates(load(spark, d, "documents"), EXAMPLE_KEY)
+
+
+QUERIES = {f.__name__: f for f in (p4_found, p7_ids, p8_packed, p8_containers, p9_found, p9_text, p9_surrogates)}
 SQL: dict[str, str] = {}
