@@ -1 +1 @@
-
+"""Plans and where they come from."""
