@@ -96,8 +96,9 @@ def matched_columns(columns: DataFrame, samples: DataFrame, text_columns: list[s
     around = parts.join(by_norm.where("norm <> ''"), ["cohort_id", "norm"]).groupBy("cohort_id", "expression_id", "place").agg(F.sum("n").alias("n"), F.max("gsm_id").alias("gsm_id")).where("n = 1")
     hits = equal.unionByName(hit(left.join(inside, ["cohort_id", "norm"]), 3)).unionByName(hit(around, 4))
     best = hits.groupBy("cohort_id", "expression_id").agg(F.min("hit").alias("hit"))
-    method = F.element_at(F.array(*[F.lit(m) for m in _LEVELS]), F.col("hit.level") + 1)
-    score = F.element_at(F.array(*[F.lit(CONFIDENCE[m]) for m in _LEVELS]), F.col("hit.level") + 1)
+    told = F.col("hit").isNotNull()
+    method = F.when(told, F.element_at(F.array(*[F.lit(m) for m in _LEVELS]), F.col("hit.level") + 1))
+    score = F.when(told, F.element_at(F.array(*[F.lit(CONFIDENCE[m]) for m in _LEVELS]), F.col("hit.level") + 1))
     return columns.join(best, ["cohort_id", "expression_id"], "left").select(
         *[c for c in columns.columns], F.col("hit.gsm_id").alias("gsm_id"), F.coalesce(method, F.lit("unmatched")).alias("match_method"), F.coalesce(score, F.lit(0.0)).alias("confidence")
     )

@@ -14,10 +14,13 @@ from cohortloom.session import load
 
 
 def cells(spark: SparkSession, d: str) -> DataFrame:
-    """Cells of five cohorts, in log scale (a tenth of the quantity) in the even ones and linear (the price) in the odd."""
+    """Cells of five cohorts, in log scale (of the quantity) in the even ones and linear (the price) in the odd.
+
+    No value is a short decimal, so that no rounded result hangs on a tie.
+    """
     items, supplier, nation = load(spark, d, "lineitem"), load(spark, d, "supplier"), load(spark, d, "nation")
     where = supplier.join(F.broadcast(nation), F.col("s_nationkey") == F.col("n_nationkey")).select(F.col("s_suppkey").alias("l_suppkey"), "n_regionkey")
-    value = F.when(F.col("n_regionkey") % 2 == 0, F.col("l_quantity") / 10).otherwise(F.col("l_extendedprice"))
+    value = F.when(F.col("n_regionkey") % 2 == 0, F.log2(F.col("l_quantity") + 1)).otherwise(F.col("l_extendedprice") * 1.0003719)
     return (
         items.select("l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
         .join(where, "l_suppkey")
@@ -47,7 +50,7 @@ def _r(df: DataFrame, places: int = 4) -> DataFrame:
 
 
 def probe_to_gene_mean(spark, d):
-    return _r(M.probes_to_genes(cells(spark, d), probe_map(spark, d)).select("cohort_id", "gene_key", "sample_id", "value"), 6)
+    return _r(M.probes_to_genes(cells(spark, d), probe_map(spark, d)).select("cohort_id", "gene_key", "sample_id", "value"), 5)
 
 
 def probe_to_gene_join(spark, d):
@@ -99,7 +102,7 @@ def normalize_matrix(spark, d):
 
 
 def quantile_normalize(spark, d):
-    return _r(M.quantile_normalized(cells(spark, d)), 6)
+    return _r(M.quantile_normalized(_r(cells(spark, d), 6)), 6)
 
 
 def _by_gene(spark, d, status):
@@ -208,7 +211,7 @@ def finalize_rows(spark, d):
 
 
 def finalize_cells(spark, d):
-    return finalized(cells(spark, d), _units(spark, d), brands(spark, d), _gene_lengths(spark, d), _clean_brands(spark, d)).withColumn("value", F.round("value", 2))
+    return finalized(cells(spark, d), _units(spark, d), brands(spark, d), _gene_lengths(spark, d), _clean_brands(spark, d))
 
 
 QUERIES = {f.__name__: f for f in (
@@ -220,7 +223,7 @@ QUERIES = {f.__name__: f for f in (
 _CELLS = """
 with cells as (
   select cast(n_regionkey as varchar) as cohort_id, cast(l_partkey as varchar) as feature_id, cast(l_suppkey as varchar) as sample_id,
-         avg(case when n_regionkey % 2 = 0 then l_quantity / 10 else l_extendedprice end) as value
+         avg(case when n_regionkey % 2 = 0 then log2(l_quantity + 1) else l_extendedprice * 1.0003719 end) as value
   from lineitem join supplier on l_suppkey = s_suppkey join nation on s_nationkey = n_nationkey group by all),
 flags as (select cohort_id, max(value) > 50 as needs_log2 from cells group by cohort_id)"""
 _FIRST = "case when trim({0}) not in ('', '---') then trim(split_part(trim({0}), ' /// ', 1)) end"
@@ -253,7 +256,7 @@ million as (select cohort_id, feature_id, sample_id, value / sum(value) over (pa
 final as (select cohort_id, feature_id, sample_id, round(case when max(value) over (partition by cohort_id) > 50 then log2(value + 1) else value end, 3) as value from million)
 """
 SQL = {
-    "probe_to_gene_mean": _CELLS + " select cohort_id, p_brand as gene_key, sample_id, round(avg(value), 6) as value from cells join part on feature_id = cast(p_partkey as varchar) group by all",
+    "probe_to_gene_mean": _CELLS + " select cohort_id, p_brand as gene_key, sample_id, round(avg(value), 5) as value from cells join part on feature_id = cast(p_partkey as varchar) group by all",
     "probe_to_gene_join": _CELLS + " select cohort_id, feature_id, p_brand as gene_key, sample_id, round(value, 4) as value from cells join part on feature_id = cast(p_partkey as varchar)",
     "symbol_sum_collapse": _CELLS + " select cohort_id, p_brand as feature_id, sample_id, round(sum(value), 4) as value from cells join part on feature_id = cast(p_partkey as varchar) group by all",
     "tpm": _CELLS + """, rate as (select cohort_id, feature_id, sample_id, value / (p_size * 100 / 1000) as value from cells join part on feature_id = cast(p_partkey as varchar) where p_size > 0)
@@ -271,7 +274,7 @@ SQL = {
     "normalize_matrix": _CELLS + """, o as (select cohort_id, count(distinct feature_id) >= 10 and count(distinct sample_id) > count(distinct feature_id) as turned from cells group by all)
         select cohort_id, case when turned then sample_id else feature_id end as feature_id, case when turned then feature_id else sample_id end as sample_id,
         round(case when needs_log2 then log2(value + 1) else value end, 4) as value from cells join flags using (cohort_id) join o using (cohort_id)""",
-    "quantile_normalize": _CELLS + """, r as (select *, row_number() over (partition by cohort_id, sample_id order by value, feature_id) as k from cells), m as (select cohort_id, k, avg(value) as mean from r group by all)
+    "quantile_normalize": _CELLS + """, r as (select *, row_number() over (partition by cohort_id, sample_id order by round(value, 6), feature_id) as k from cells), m as (select cohort_id, k, avg(round(value, 6)) as mean from r group by all)
         select cohort_id, feature_id, sample_id, round(mean, 6) as value from r join m using (cohort_id, k)""",
     "gene_frames_full_outer": """with g as (select l_linestatus, p_brand, case when p_size > 10 then p_type end as p_type, avg(l_quantity) as value from lineitem join part on l_partkey = p_partkey group by all),
         a as (select * from g where l_linestatus = 'O' and p_brand <> 'Brand#11'), b as (select * from g where l_linestatus = 'F' and p_brand <> 'Brand#12')
@@ -306,7 +309,7 @@ SQL = {
     "undouble_symbols": """with i as (select p_brand as cohort_id, p_partkey, p_type, p_partkey % 3 > 0 and p_brand like '%3' as doubled from part), g as (select cohort_id, avg(case when doubled then 1.0 else 0 end) > 0.5 as most from i group by all)
         select cohort_id, case when doubled and not most then p_type || '_' || p_type else p_type end as feature_id, p_partkey from i join g using (cohort_id)""",
     "gene_length_median": "select p_brand as gene_id, cast(round_even(median(p_size), 0) as bigint) as length from part where p_size > 5 group by all",
-    "finalize_cells": _CELLS + _LINEAR + " select cohort_id, feature_id, sample_id, round(value, 2) as value from final",
+    "finalize_cells": _CELLS + _LINEAR + " select cohort_id, feature_id, sample_id, value from final",
     "finalize_report": _CELLS + _LINEAR + """, n as (select cohort_id, count(distinct feature_id) as nf, count(distinct sample_id) as ns from final group by all)
         select u.cohort_id, case when f.needs_log2 is null or u.unit is null then 'skipped' else 'processed' end as status,
         case when f.needs_log2 is null then 'no expression matrix' when u.unit is null then 'unit unknown' else '' end as reason, coalesce(nf, 0) as n_features, coalesce(ns, 0) as n_samples, not f.needs_log2 as was_log2
