@@ -23,7 +23,7 @@ def closure(roots: DataFrame, edges: DataFrame, most_levels: int = 64) -> DataFr
         frontier = cut_lineage(step.join(found, ["root", "id"], "left_anti").withColumn("depth", F.lit(level)).select("root", "id", "parent", "depth"))
         if frontier.isEmpty():
             break
-        found = cut_lineage(found.unionByName(frontier))
+        found = found.unionByName(frontier)
     return found
 
 

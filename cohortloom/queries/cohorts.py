@@ -386,7 +386,7 @@ SQL = {
     "drop_parents": "select row_id, gse_id from annotation where gse_id is null or gse_id not in (select gse_id from series where removed_at is not null)",
     "sample_property_filter": """with h as (select gse_id, count(*) as n, count(*) filter (where contains(lower(coalesce(sex, '')), 'female')) as a,
         count(*) filter (where contains(lower(concat_ws(' | ', coalesce(sex, ''), coalesce(drug, ''), coalesce(dose_schedule, ''), case when contains(tissue, ':') then tissue else '' end)), 'velotinib')) as b from annotation group by gse_id)
-        select gse_id, 'sex:female=' || a || '/' || n || '; cell line:velotinib=' || b || '/' || n as matches from h where a > 0 and b > 0""",
+        select gse_id, 'sex:female=' || a || '/' || n || '; cell line:velotinib=' || b || '/' || n as matches from h where a > 0 and b > 0 and gse_id is not null""",
     "sample_id_match": "with " + _MATCH.format(second=_TISSUES).strip() + " select cohort_id, expression_id, gsm_id, match_method, confidence from matched",
     "positional_match": "with " + _MATCH.format(second="").strip() + """,
         m as (select * from matched where substr(cohort_id, -1) in ('1', '3', '5')),

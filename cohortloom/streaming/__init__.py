@@ -1 +1 @@
-
+"""Counts kept up to date as changes arrive."""
