@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortloom.functions.clinical import match_key
+from cohortloom.session import cut_lineage
 
 # Confidence of a match by how it was made.
 CONFIDENCE = {"exact_gsm_id": 1.0, "exact": 0.95, "normalized_exact": 0.9, "substring": 0.75, "reverse_substring": 0.6, "positional_fallback": 0.5}
@@ -88,11 +89,12 @@ def matched_columns(columns: DataFrame, samples: DataFrame, text_columns: list[s
     by_norm = texts.groupBy("cohort_id", "place", F.col("text_norm").alias("norm")).agg(*one)
     named = cols.where("norm <> ''")
     equal = hit(cols.join(ids, ["cohort_id", "expression_id"]), 0).unionByName(hit(cols.join(exact, ["cohort_id", "expression_id"]), 1)).unionByName(hit(named.join(by_norm.where("n = 1"), ["cohort_id", "norm"]), 2))
-    left = named.join(equal.select("cohort_id", "expression_id").distinct(), ["cohort_id", "expression_id"], "left_anti")
+    left = cut_lineage(named.join(equal.select("cohort_id", "expression_id").distinct(), ["cohort_id", "expression_id"], "left_anti"))
+    open_texts = texts.join(left.select("cohort_id").distinct(), "cohort_id", "left_semi")
     # Inside: the name is a substring of exactly one sample's text.
-    inside = texts.select("cohort_id", "place", "gsm_id", F.explode(_pieces(F.col("text_norm"), [n for n in _lengths(cols, "norm") if n > 0] or [1])).alias("norm")).groupBy("cohort_id", "place", "norm").agg(*one).where("n = 1")
+    inside = open_texts.select("cohort_id", "place", "gsm_id", F.explode(_pieces(F.col("text_norm"), [n for n in _lengths(left, "norm") if n > 0] or [1])).alias("norm")).groupBy("cohort_id", "place", "norm").agg(*one).where("n = 1")
     # Around: of all texts inside the name, exactly one sample has one.
-    parts = left.select("cohort_id", "expression_id", F.explode(_pieces(F.col("norm"), [n for n in _lengths(texts, "text_norm") if n > 0] or [1])).alias("norm"))
+    parts = left.select("cohort_id", "expression_id", F.explode(_pieces(F.col("norm"), [n for n in _lengths(open_texts, "text_norm") if n > 0] or [1])).alias("norm"))
     around = parts.join(by_norm.where("norm <> ''"), ["cohort_id", "norm"]).groupBy("cohort_id", "expression_id", "place").agg(F.sum("n").alias("n"), F.max("gsm_id").alias("gsm_id")).where("n = 1")
     hits = equal.unionByName(hit(left.join(inside, ["cohort_id", "norm"]), 3)).unionByName(hit(around, 4))
     best = hits.groupBy("cohort_id", "expression_id").agg(F.min("hit").alias("hit"))

@@ -56,6 +56,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores where its files give fewer partitions than there are cores.
+
+    For maps that spend far more on a row than moving it costs; tables of many files
+    are left as they lie.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def ship(spark: SparkSession) -> None:
     """Send this package to the Python workers of the session, once, so that they need no installation of it."""
     context = spark.sparkContext
