@@ -24,6 +24,9 @@ _DOT = r"(?:\.|[ ]?[(\[{]\s?(?:dot|DOT|Dot|punkt|punto|point)\s?[)\]}][ ]?|[ ]DO
 _LOCAL, _LABEL = r"[\p{L}\d][\p{L}\d._%+\-]*", r"[\p{L}\d](?:[\p{L}\d\-]*[\p{L}\d])?"
 EMAIL = regex.compile(rf"(?<![\p{{Latin}}\d._%+\-])(?:[a-zA-Z\d][a-zA-Z\d._%+\-]*{_AT}[a-zA-Z\d](?:[a-zA-Z\d\-]*[a-zA-Z\d])?(?:{_DOT}[a-zA-Z\d](?:[a-zA-Z\d\-]*[a-zA-Z\d])?)+|{_LOCAL}[ ]at[ ]{_LABEL}(?:[ ]dot[ ]{_LABEL})+)")
 
+#: Where an email may be: an at in any spelling.
+_AT_SIGN = regex.compile(r"@|\bAT\b|[(\[{]\s?[aA][tT]\s?[)\]}]|[ ]at[ ](?=\S+[ ]dot[ ])")
+
 # --- identity numbers ----------------------------------------------------------------------------------------------
 # Labels before a person's number.
 _ID_LABELS = (
@@ -37,6 +40,7 @@ _ID_BODY = r"(?:[A-Z]{1,3}[ /\-]?)?\d\d*(?:[A-Z]{1,3}\d+)?(?:[ /\-]\d+(?:[A-Z]{1
 ID_AFTER_LABEL = regex.compile(rf"(?<![\p{{Latin}}\d])(?:{_ID_LABELS})(?:[ ]?(?:no\.?|nr\.?|number|n[°º]))?[ ]?[:：=#]?[ ]{{0,2}}(?P<id>{_ID_BODY})", regex.IGNORECASE)
 ID_BEFORE_LABEL = regex.compile(rf"(?<![\p{{Latin}}\d./\-])(?P<id>{_ID_BODY})(?=[ ]\((?:insurance|passport|patient|NHS|national|social security|SSN)\b)")
 _ID_CASE = regex.compile(_ID_BODY)
+_LABEL_BEHIND = regex.compile(r"[ ]\((?:insurance|passport|patient|NHS|national|social security|SSN)\b")
 
 # Labels before a number that is no person's.
 NO_PERSON = regex.compile(r"\b(?:lots?|kits?|order no\.|order|trial|EC approval|approval|batch|build|catalog(?:ue)? no\.|PMID|GSE|GSM|GPL|SRX|PRJ|slide|row|Room|box|shelf|version)[ \-:.]{0,2}[A-Z]?[\-]?\d[\d \-/]*\d")
@@ -104,6 +108,9 @@ ROW = regex.compile(rf"\|[ ]?(?P<name>{_LOOSE})[ ]?\|[ ]?(?P<id>{_ID_BODY})[ ]?(
 ADDRESSED = regex.compile(rf"(?<![\p{{L}}\d])(?:Attn\.?:?|Attention:?|c/o|z\. ?Hd\.|à l'attention de|FAO)[ ]{{1,2}}(?P<name>{_PLAIN_ORDER}|{_WORD},{_SP}{_ONE}(?:{_SP}{_INITIAL}){{0,2}})(?![\p{{L}}])")
 # Before an address in pointed brackets, or a remark how to reach a person.
 FOLLOWED = regex.compile(rf"(?:(?<=[.!?。:;\"]|\s|^))(?P<name>{_LOOSE})[ ](?=<[^<>\n]*(?:@|\bat\b|\bAT\b)|\((?:reach at|mail|e-?mail|tel|phone|cell|mobile)\b)")
+_HOW_TO_REACH = regex.compile(r"[ ](?:<[^<>\n]*(?:@|\bat\b|\bAT\b)|\((?:reach at|mail|e-?mail|tel|phone|cell|mobile)\b)")
+#: No name and no identity number is longer.
+_WINDOW = 100
 _SURNAME = rf"{_TITLE}"
 KNOWN = regex.compile(
     rf"(?<![\p{{L}}\d@._\-])(?P<name>(?P<given>{_TITLE})(?:{_SP}{_INITIAL}){{0,2}}(?:{_SP}{_PART})?{_SP}{_SURNAME}|{_SURNAME},{_SP}(?P<given2>{_TITLE})(?:{_SP}{_INITIAL}){{0,2}}(?:{_SP}{_PART})?)(?![\p{{L}}\d@])"
@@ -169,19 +176,26 @@ def find_entities(text: str | None) -> list[tuple[str, int, int]]:
     """(kind, from, to) of every entity of a text, in the order of the text; places in code points."""
     if not text or not text.strip():
         return []
-    plain = text.translate(_PLAIN)
+    plain = text if text.isascii() else text.translate(_PLAIN)
     spans = _Spans()
-    if "@" in plain or " AT " in plain or regex.search(r"[(\[{]\s?at\s?[)\]}]| at \S+ dot ", plain, regex.IGNORECASE):
-        for m in EMAIL.finditer(plain):
+    for sign in _AT_SIGN.finditer(plain):
+        start = sign.start()
+        while start and plain[start - 1] == " ":
+            start -= 1
+        while start and not plain[start - 1].isspace():
+            start -= 1
+        m = EMAIL.search(plain, start, sign.end() + 400)
+        if m and m.start() < sign.end():
             spans.take("email", m.start(), m.end())
     for m in NO_PERSON.finditer(plain):
         spans.blocked.append(m.span())
-    for pattern in (ID_AFTER_LABEL, ID_BEFORE_LABEL):
-        for m in pattern.finditer(plain):
-            start, end = m.span("id")
-            body = _ID_CASE.match(plain, start, end)
-            if body and sum(c.isdigit() for c in body[0]) >= 5:
-                spans.take("id_number", start, body.end())
+    labelled = [m.span("id") for m in ID_AFTER_LABEL.finditer(plain)]
+    for label in _LABEL_BEHIND.finditer(plain):
+        labelled += [m.span("id") for m in ID_BEFORE_LABEL.finditer(plain, max(0, label.start() - _WINDOW), label.end()) if m.end() == label.start()]
+    for start, end in labelled:
+        body = _ID_CASE.match(plain, start, end)
+        if body and sum(c.isdigit() for c in body[0]) >= 5:
+            spans.take("id_number", start, body.end())
     for m in ROW.finditer(plain) if "|" in plain else ():
         if sum(c.isdigit() for c in m["id"]) >= 5 and _good_name(m["name"]):
             spans.take("name", *m.span("name"))
@@ -209,7 +223,8 @@ def find_entities(text: str | None) -> list[tuple[str, int, int]]:
         for m in pattern.finditer(plain, overlapped=True):
             if spans.free(m.start(), m.start("name")):
                 take_name(*m.span("name"))
-    for m in FOLLOWED.finditer(plain, overlapped=True):
+    followed = (m for reach in _HOW_TO_REACH.finditer(plain) for m in FOLLOWED.finditer(plain, max(0, reach.start() - _WINDOW), reach.end() + 40, overlapped=True) if m.end("name") == reach.start())
+    for m in followed:
         first = fold(regex.split(r"[\s,]+", m["name"])[0])
         last = fold(regex.split(r"[\s,]+", m["name"])[-1])
         inverted = "," in m["name"] and fold(regex.split(r",\s+", m["name"])[1].split()[0])

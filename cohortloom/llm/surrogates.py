@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortloom.llm.pii import _PART, fold, find_entities
-from cohortloom.session import cut_lineage
+from cohortloom.session import cut_lineage, spread
 
 SPANS = "array<struct<pii_kind:string,char_from:int,char_to:int,entity:string>>"
 # Given names of surrogates by gender.
@@ -140,14 +140,14 @@ def detected(documents: DataFrame, text: str = "text", doc_id: str = "doc_id") -
         for texts in batches:
             yield texts.map(lambda t: [{"pii_kind": k, "char_from": a, "char_to": b, "entity": entity_of(k, t[a:b])} for k, a, b in find_entities(t)])
 
-    return documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), spans(F.col(text)).alias("spans"))
+    return spread(documents.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))).withColumn("spans", spans("text"))
 
 
 def entity_places(documents: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """(doc_id, pii_kind, char_from, char_to): one row per mention; places in code points.
 
     Null, empty and blank texts have none; repeated documents each give theirs;
-    texts of any length are read whole.  A narrow map: no shuffle.
+    texts of any length are read whole.  A map without a shuffle where there are files enough.
     """
     return detected(documents, text, doc_id).select("doc_id", F.explode("spans").alias("s")).select("doc_id", "s.pii_kind", "s.char_from", "s.char_to")
 
@@ -172,7 +172,7 @@ def with_placeholders(documents: DataFrame, key: str) -> DataFrame:
             rows.append((t if t is None else _rewrite(t, found, lambda k, _, e: placeholder(k, e, secret)), len(found)))
         return pd.DataFrame(rows, columns=["text", "n_entities"])
 
-    return documents.select("doc_id", masked("text").alias("m")).select("doc_id", "m.*")
+    return spread(documents.select("doc_id", "text")).select("doc_id", masked("text").alias("m")).select("doc_id", "m.*")
 
 
 def clashes(found: DataFrame, key: str) -> DataFrame:

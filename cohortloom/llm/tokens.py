@@ -13,6 +13,8 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortloom.session import spread
+
 #: Folder of the vocabulary files, the same on every worker; a parameter of every function here.
 TOKENIZER_DIR = "/opt/tokenizers"
 # Fixed value: the published pre-splitting pattern of the vocabulary.
@@ -60,7 +62,7 @@ def decode(ids: list[int] | np.ndarray, enc: tiktoken.Encoding) -> bytes:
 def token_ids(documents: DataFrame, tokenizer: str = "byte_bpe_50k", folder: str = TOKENIZER_DIR, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """(doc_id, ids): one row per document; a null and an empty text give an empty list.
 
-    A narrow map: no shuffle, two columns read.  Repeated rows each give theirs.
+    A map of two columns, without a shuffle where there are files enough.  Repeated rows each give theirs.
     """
 
     @F.pandas_udf("array<int>")
@@ -69,7 +71,8 @@ def token_ids(documents: DataFrame, tokenizer: str = "byte_bpe_50k", folder: str
         for texts in batches:
             yield texts.map(lambda t: encode(t, enc))
 
-    return documents.select(F.col(doc_id).alias("doc_id"), ids(F.coalesce(F.col(text), F.lit(""))).alias("ids"))
+    texts = spread(documents.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")))
+    return texts.select("doc_id", ids("text").alias("ids"))
 
 
 def token_counts(documents: DataFrame, tokenizer: str = "byte_bpe_50k", folder: str = TOKENIZER_DIR, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -81,7 +84,8 @@ def token_counts(documents: DataFrame, tokenizer: str = "byte_bpe_50k", folder:
         for texts in batches:
             yield texts.map(lambda t: len(encode(t, enc)))
 
-    return documents.select(F.col(doc_id).alias("doc_id"), count(F.coalesce(F.col(text), F.lit(""))).alias("n_tokens"))
+    texts = spread(documents.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")))
+    return texts.select("doc_id", count("text").alias("n_tokens"))
 
 
 def decoded_texts(encoded: DataFrame, tokenizer: str = "byte_bpe_50k", folder: str = TOKENIZER_DIR) -> DataFrame:
