@@ -114,7 +114,7 @@ def equal_width_histogram(df: DataFrame, value: str, bins: int = 40) -> DataFram
     bounds = df.agg(F.min(value).alias("a"), F.max(value).alias("b"))
     low, high = bounds.select("a").scalar(), bounds.select("b").scalar()
     width = F.nullif((high - low) / bins, F.lit(0.0))
-    slot = F.coalesce(F.greatest(F.lit(1), F.least(F.ceil((F.col(value) - low) / width), F.lit(bins))), F.lit(1)).cast("int")
+    slot = F.when(width.isNull(), 1).otherwise(F.greatest(F.lit(1), F.least(F.ceil((F.col(value) - low) / width), F.lit(bins)))).cast("int")
     counted = df.where(F.col(value).isNotNull()).groupBy(slot.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     return counted.select("bin", (low + (F.col("bin") - 1) * F.coalesce(width, F.lit(0.0))).alias("low"), (low + F.col("bin") * F.coalesce(width, F.lit(0.0))).alias("high"), "n")
 
