@@ -92,7 +92,7 @@ def matched_columns(columns: DataFrame, samples: DataFrame, text_columns: list[s
     left = cut_lineage(named.join(equal.select("cohort_id", "expression_id").distinct(), ["cohort_id", "expression_id"], "left_anti"))
     open_texts = texts.join(left.select("cohort_id").distinct(), "cohort_id", "left_semi")
     # Inside: the name is a substring of exactly one sample's text.
-    inside = open_texts.select("cohort_id", "place", "gsm_id", F.explode(_pieces(F.col("text_norm"), [n for n in _lengths(left, "norm") if n > 0] or [1])).alias("norm")).groupBy("cohort_id", "place", "norm").agg(*one).where("n = 1")
+    inside = open_texts.select("cohort_id", "place", "gsm_id", F.explode(_pieces(F.col("text_norm"), [n for n in _lengths(left, "norm") if n > 0] or [1])).alias("norm")).join(left.select("cohort_id", "norm").distinct(), ["cohort_id", "norm"], "left_semi").groupBy("cohort_id", "place", "norm").agg(*one).where("n = 1")
     # Around: of all texts inside the name, exactly one sample has one.
     parts = left.select("cohort_id", "expression_id", F.explode(_pieces(F.col("norm"), [n for n in _lengths(open_texts, "text_norm") if n > 0] or [1])).alias("norm"))
     around = parts.join(by_norm.where("norm <> ''"), ["cohort_id", "norm"]).groupBy("cohort_id", "expression_id", "place").agg(F.sum("n").alias("n"), F.max("gsm_id").alias("gsm_id")).where("n = 1")

@@ -7,6 +7,10 @@ cells are null; NaN is turned to null on the way in.
 
 from __future__ import annotations
 
+import warnings
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -211,6 +215,33 @@ def quantile_normalized(cells: DataFrame) -> DataFrame:
     return ranked.join(means, ["cohort_id", "rank"]).select("cohort_id", "feature_id", "sample_id", F.col("mean").alias("value"))
 
 
+def median_polished(cells: DataFrame, probe_sets: DataFrame, rounds: int = 10) -> DataFrame:
+    """(cohort_id, feature_id, sample_id, value): probes (feature_id) of a set (set_id) summarized by median polish.
+
+    A set is a handful of probes by the samples of one cohort: one group of one task.
+    """
+
+    def polish(table: pd.DataFrame) -> pd.DataFrame:
+        m = table.pivot_table(index="feature_id", columns="sample_id", values="value", aggfunc="mean").to_numpy(copy=True)
+        samples = sorted(table["sample_id"].unique())
+        total, row, col = 0.0, np.zeros(m.shape[0]), np.zeros(m.shape[1])
+        with warnings.catch_warnings():
+            warnings.simplefilter("ignore")  # samples without any value
+            for _ in range(rounds):
+                d = np.nanmedian(m, axis=1)
+                m, row = m - d[:, None], row + d
+                shift = np.nanmedian(col)
+                col, total = col - shift, total + shift
+                d = np.nanmedian(m, axis=0)
+                m, col = m - d[None, :], col + d
+                shift = np.nanmedian(row)
+                row, total = row - shift, total + shift
+        return pd.DataFrame({"cohort_id": table["cohort_id"].iat[0], "feature_id": table["set_id"].iat[0], "sample_id": samples, "value": total + col})
+
+    joined = clean_cells(cells).where("value is not null").join(probe_sets.select("feature_id", "set_id"), "feature_id")
+    return joined.groupBy("cohort_id", "set_id").applyInPandas(polish, "cohort_id string, feature_id string, sample_id string, value double")
+
+
 def wide(cells: DataFrame, samples: list[str] | None = None) -> DataFrame:
     """A matrix with a column per sample, for a sink; only for one cohort of a known list of samples."""
     return cells.groupBy("feature_id").pivot("sample_id", samples).agg(F.first("value"))

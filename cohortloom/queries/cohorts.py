@@ -12,6 +12,7 @@ from cohortloom.functions.keys import normal_key
 from cohortloom.operators import graph as G
 from cohortloom.operators import harmonize as H
 from cohortloom.operators import matching as P
+from cohortloom.operators import primary_file as F_primary
 from cohortloom.operators import report as R
 from cohortloom.operators import stats as S
 from cohortloom.plans.schemas import ColumnCluster, ColumnMappingPlan, SurvivalMapping
@@ -64,6 +65,24 @@ def ranked_first(spark, d):
     return R.ranked_first(names.select("organism", "name", "row_id"), ["organism"], [C.quantity_unit(F.col("name"))["rank"], F.col("row_id")]).select("organism", "name", "row_id")
 
 
+def _tables(spark, d):
+    """Two to three tables a series, with columns about its samples."""
+    s = load(spark, d, "series").where("n_samples is not null").select(F.col("row_id").alias("cohort_id"), (F.col("n_samples") % 40 + 6).alias("n_samples"))
+    names = F.array(*[F.struct(F.lit(i).alias("ord"), F.lit(n).alias("name")) for i, n in enumerate(("a_counts.tsv.gz", "b_FPKM.csv", "c.txt", "GSM7_tpm.txt"))])
+    t = s.select("cohort_id", "n_samples", F.explode(names).alias("f")).select("cohort_id", "n_samples", "f.*").where("ord < 2 + cohort_id % 3")
+    columns = F.transform(F.sequence(F.lit(0), F.floor(F.col("n_samples") * (F.col("ord") + F.col("cohort_id") % 2 + 1) / 3).cast("int")), lambda i: F.concat(F.when(F.col("cohort_id") % 9 == 0, F.element_at(F.array(F.lit("Chr"), F.lit("START"), F.lit("end")), (i % 3 + 1).cast("int"))).otherwise("s"), F.when(F.col("cohort_id") % 9 == 0, "").otherwise(i.cast("string"))))
+    return s, t.select("cohort_id", "name", "ord", (F.col("cohort_id") % 5 * 600).alias("n_rows"), columns.alias("columns"))
+
+
+def primary_by_name(spark, d):
+    return F_primary.primary_by_name(_tables(spark, d)[1])
+
+
+def primary_by_content(spark, d):
+    samples, files = _tables(spark, d)
+    return F_primary.primary_by_content(files, samples)
+
+
 def sample_count_fit(spark, d):
     return load(spark, d, "series").select("row_id", C.sample_count_fits(F.col("n_samples") + F.col("row_id").cast("int") % 60 - 30, F.col("n_samples")).alias("fits"))
 
@@ -294,7 +313,7 @@ def moderated_t(spark, d):
 
 
 QUERIES = {f.__name__: f for f in (
-    classify_assay, classify_vendor, array_content, coverage_bucket, platform_gate, url_extension_filter, matrix_candidates, ranked_first, sample_count_fit, rnaseq_library, ordered_exclusion_reason,
+    classify_assay, classify_vendor, array_content, coverage_bucket, platform_gate, url_extension_filter, matrix_candidates, ranked_first, primary_by_name, primary_by_content, sample_count_fit, rnaseq_library, ordered_exclusion_reason,
     recist, event_remap, time_to_months, strip_label, species, expression_status, clinical_unify, characteristics_map, json_props, platform_details, fingerprint_groups, fingerprint_join, vocab_normalize,
     column_profile, column_summary_topk, distinct_listagg, cluster_coalesce, union_schema_evolution, drop_parents, sample_property_filter, sample_id_match, positional_match, match_status,
     graph_closure, graph_leaves, orphans_anti, readiness_report, catalog_search, recall_search, content_summary, equal_width_histogram, ols_two_group, bh_adjust, moderated_t,
@@ -350,6 +369,13 @@ SQL = {
         select doc_id, count(*) as n_kept from u where length(url) % 3 = 2 or contains(url, '?') group by doc_id""",
     "matrix_candidates": f"""with {_NAMES}, t as (select *, {_RANK} as r from names) select row_id, {_DATA} as is_data, {_CANDIDATE} as is_candidate, r as unit_rank, list_value('tpm', 'fpkm', 'rpkm', 'cpm', 'count', 'unknown')[r + 1] as unit from t""",
     "ranked_first": f"with {_NAMES}, t as (select *, row_number() over (partition by organism order by {_RANK}, row_id) as k from names where {_CANDIDATE}) select organism, name, row_id from t where k = 1",
+    "primary_by_name": "select row_id as cohort_id, 'b_FPKM.csv' as name, 'fpkm' as unit from series where n_samples is not null",
+    "primary_by_content": """with t as (select row_id as c, n_samples % 40 + 6 as n, o, list_value('a_counts.tsv.gz', 'b_FPKM.csv', 'c.txt', 'GSM7_tpm.txt')[o + 1] as name from series, range(4) r(o) where n_samples is not null and o < 2 + row_id % 3 and o < 3),
+        k as (select *, case when c % 5 * 600 >= 1000 and c % 9 > 0 then floor(n * (o + c % 2 + 1) / 3.0) end as cols from t),
+        f as (select *, coalesce(n > 0 and abs(cols - n) <= greatest(5, round_even(n * 0.15::double, 0)), false) as fits from k),
+        g as (select c, count(cols) as tables, count(*) filter (where fits) as nf, min(name) filter (where fits) as first, sum(cols) as s, max(n) as n, string_agg(name, ';' order by o) filter (where cols is not null) as parts from f group by c),
+        v as (select *, nf = 1 as single, tables > 1 and coalesce(abs(s - n) <= greatest(5, round_even(n * 0.15::double, 0)), false) as multi from g)
+        select c as cohort_id, case when single then 'single' when multi then 'multi_part' else 'none' end as verdict, case when single then first when multi then parts else '' end as names from v""",
     "sample_count_fit": "select row_id, n_samples > 0 and abs(row_id % 60 - 30) <= greatest(5, round_even(n_samples * 0.15::double, 0)) as fits from series",
     "rnaseq_library": "select row_id, case row_id % 4 when 0 then 'polyA' when 2 then 'total_rna' else case when tissue_detail is null then 'unknown' else 'total_rna' end end as library from sample_group",
     "ordered_exclusion_reason": """select p_partkey, case when p_size = 1 then 'mitochondrial' when p_size = 2 then 'replication_dependent_histone' when p_size = 3 then 'receptor_segment' when p_size = 4 then 'gene_not_coding' when p_size = 5 then 'flagged_gene'
