@@ -9,8 +9,11 @@ the least certain, and what one has taken the next leaves alone.
 
 from __future__ import annotations
 
+import re
 import unicodedata
+from functools import lru_cache
 
+import ahocorasick
 import regex
 
 KINDS = ("email", "id_number", "phone", "address", "name")
@@ -18,6 +21,8 @@ KINDS = ("email", "id_number", "phone", "address", "name")
 # One character for one: full-width forms, hyphens, blanks.
 _PLAIN = {0xFF01 + i: 0x21 + i for i in range(94)} | dict.fromkeys([0x2010, 0x2011, 0x2012, 0x2013, 0x2212], ord("-")) | dict.fromkeys([0xA0, 0x2007, 0x2009, 0x202F, 0x3000], ord(" "))
 
+_ODD = re.compile("[\uff01-\uff5e\u2010-\u2013\u2212\u00a0\u2007\u2009\u202f\u3000]")
+
 # --- email ---------------------------------------------------------------------------------------------------------
 _AT = r"(?:[ ]?@[ ]?|[ ]?[(\[{]\s?(?:at|AT|At)\s?[)\]}][ ]?|[ ](?:AT)[ ])"
 _DOT = r"(?:\.|[ ]?[(\[{]\s?(?:dot|DOT|Dot|punkt|punto|point)\s?[)\]}][ ]?|[ ]DOT[ ])"
@@ -126,14 +131,65 @@ def fold(word: str) -> str:
     return "".join(c for c in text if not unicodedata.combining(c))
 
 
+# --- where to look -------------------------------------------------------------------------------------------------
+# How the labels and leads above begin, in lower case; the patterns are tried only at these places.
+_LABEL_STARTS = (
+    "ssn|social security|soc. sec|nhs |national|patient|hospital|insurance|passport|medical record|person|hosp|chart|file|mrn|id|versicherten|patienten|personalausweis|ausweis|reisepass|sozialversicherung|fallnummer"
+    "|passeport|n° de|nº de|numéro de|carte d'identité|cni|dni|nie|nif|pasaporte|historia clínica|número de|numero de|nhc|身份证|护照|病历|住院|医保|社保|患者编号"
+).split("|")
+_LEAD_STARTS = (
+    "dear|hi|hello|contact|kontakt|ansprechpartner|name|patient name|nom|nombre|sent by|next of kin:|emergency contact|signed consent:|consent:|study nurse:|nurse:|data manager:|pi:|curated by|corresponding author|spoke to"
+    "|the nurse|the patient,|pt|good |label shows|informed:|on |from:|to:|cc:|submitter|still reads|shipped to|kind regards|best regards|warm regards|regards,|sincerely,|grüßen|grüße|gruß|cordialement|salutations|saludos|un saludo"
+    "|herr|frau|patientin|bitte an|mme|mlle|monsieur|madame|m.|la patiente|le patient|envoyer les tubes|el paciente|la paciente|la sra.|el sr.|atención de|dr.|prof.|mr.|mrs.|ms.|reviewed by|taken by|reported by|submitted by|author:"
+    "|estimad|querid|chèr|sehr geehrte|liebe"
+).split("|")
+_NUMBER_BEFORE_CAPITAL = re.compile(r"\d[A-Za-z]? [^\W\d_a-z]")
+_GERMAN_STREETS, _FRENCH_STREETS, _SPANISH_STREETS = (w.split() for w in ("str gasse allee weg ring platz damm ufer", "rue bd boulevard avenue av. chemin impasse place quai allée cours route passage", "c/ calle avda avenida plaza pza paseo camino ronda"))
+
+
+@lru_cache(maxsize=1)
+def _starts() -> ahocorasick.Automaton:
+    """One automaton over all starts; a word may be of several families."""
+    families: dict[str, set[str]] = {}
+    for family, words in (("label", _LABEL_STARTS), ("lead", _LEAD_STARTS), ("given", GIVEN_NAMES)):
+        for w in words:
+            families.setdefault(w, set()).add(family)
+    out = ahocorasick.Automaton()
+    for w, f in families.items():
+        out.add_word(w, (len(w), tuple(sorted(f))))
+    out.make_automaton()
+    return out
+
+
+def _places(plain: str, low: str) -> dict[str, list[int]]:
+    """Where a label, a lead or a given name may begin: at a word's start, in order of the text."""
+    out: dict[str, set[int]] = {"label": set(), "lead": set(), "given": set()}
+    for last, (length, families) in _starts().iter(low):
+        start = last - length + 1
+        before = plain[start - 1] if start else " "
+        if before.isascii():
+            if before.isalnum():
+                continue
+        elif before.isalpha() and "lead" in families and families != ("lead",):
+            families = tuple(f for f in families if f == "label")
+        elif before.isalpha() and "label" not in families:
+            continue
+        for f in families:
+            out[f].add(start)
+    return {f: sorted(v) for f, v in out.items()}
+
+
 class _Spans:
-    """Spans taken so far."""
+    """Spans taken so far, and numbers that are no person's."""
 
-    def __init__(self) -> None:
+    def __init__(self, plain: str) -> None:
+        self.plain = plain
         self.found: list[tuple[str, int, int]] = []
-        self.blocked: list[tuple[int, int]] = []
+        self.blocked: list[tuple[int, int]] | None = None
 
     def free(self, start: int, end: int) -> bool:
+        if self.blocked is None:
+            self.blocked = [m.span() for m in NO_PERSON.finditer(self.plain)]
         return all(end <= a or b <= start for _, a, b in self.found) and all(end <= a or b <= start for a, b in self.blocked)
 
     def take(self, kind: str, start: int, end: int) -> None:
@@ -176,8 +232,12 @@ def find_entities(text: str | None) -> list[tuple[str, int, int]]:
     """(kind, from, to) of every entity of a text, in the order of the text; places in code points."""
     if not text or not text.strip():
         return []
-    plain = text if text.isascii() else text.translate(_PLAIN)
-    spans = _Spans()
+    plain = text if text.isascii() or not _ODD.search(text) else text.translate(_PLAIN)
+    low = plain.lower()
+    if len(low) != len(plain):  # a few letters are two in lower case
+        low = "".join(c.lower() if len(c.lower()) == 1 else c for c in plain)
+    places = _places(plain, low)
+    spans = _Spans(plain)
     for sign in _AT_SIGN.finditer(plain):
         start = sign.start()
         while start and plain[start - 1] == " ":
@@ -185,11 +245,9 @@ def find_entities(text: str | None) -> list[tuple[str, int, int]]:
         while start and not plain[start - 1].isspace():
             start -= 1
         m = EMAIL.search(plain, start, sign.end() + 400)
-        if m and m.start() < sign.end():
-            spans.take("email", m.start(), m.end())
-    for m in NO_PERSON.finditer(plain):
-        spans.blocked.append(m.span())
-    labelled = [m.span("id") for m in ID_AFTER_LABEL.finditer(plain)]
+        if m and m.start() < sign.end() and all(m.end() <= a or b <= m.start() for _, a, b in spans.found):
+            spans.found.append(("email", *m.span()))
+    labelled = [m.span("id") for start in places["label"] if (m := ID_AFTER_LABEL.match(plain, start))]
     for label in _LABEL_BEHIND.finditer(plain):
         labelled += [m.span("id") for m in ID_BEFORE_LABEL.finditer(plain, max(0, label.start() - _WINDOW), label.end()) if m.end() == label.start()]
     for start, end in labelled:
@@ -207,10 +265,12 @@ def find_entities(text: str | None) -> list[tuple[str, int, int]]:
     for m in PHONE_PLAIN.finditer(plain):
         if 8 <= sum(c.isdigit() for c in m[0]) <= 13:
             spans.take("phone", m.start(), m.end())
-    for pattern in ADDRESSES:
-        for m in pattern.finditer(plain):
-            start, end = m.span()
-            spans.take("address", start, end)
+    has = (
+        bool(_NUMBER_BEFORE_CAPITAL.search(plain)), "box" in low, any(w in low for w in _GERMAN_STREETS), any(w in low for w in _FRENCH_STREETS), any(w in low for w in _SPANISH_STREETS), "号" in low or "弄" in low
+    )
+    for pattern, wanted in zip(ADDRESSES, has, strict=True):
+        for m in pattern.finditer(plain) if wanted else ():
+            spans.take("address", *m.span())
     names: set[str] = set()
 
     def take_name(start: int, end: int) -> None:
@@ -219,10 +279,11 @@ def find_entities(text: str | None) -> list[tuple[str, int, int]]:
             spans.take("name", start, end)
             names.add(plain[start:end])
 
-    for pattern in (ADDRESSED, LED):
-        for m in pattern.finditer(plain, overlapped=True):
-            if spans.free(m.start(), m.start("name")):
-                take_name(*m.span("name"))
+    led = [m for m in ADDRESSED.finditer(plain, overlapped=True)] if "att" in low or "c/o" in low or "hd." in low or "fao" in low else []
+    led += [m for start in places["lead"] if (m := LED.match(plain, start))]
+    for m in led:
+        if spans.free(m.start(), m.start("name")):
+            take_name(*m.span("name"))
     followed = (m for reach in _HOW_TO_REACH.finditer(plain) for m in FOLLOWED.finditer(plain, max(0, reach.start() - _WINDOW), reach.end() + 40, overlapped=True) if m.end("name") == reach.start())
     for m in followed:
         first = fold(regex.split(r"[\s,]+", m["name"])[0])
@@ -230,7 +291,10 @@ def find_entities(text: str | None) -> list[tuple[str, int, int]]:
         inverted = "," in m["name"] and fold(regex.split(r",\s+", m["name"])[1].split()[0])
         if first in GIVEN_NAMES or first.endswith(".") or inverted and (inverted in GIVEN_NAMES or inverted.endswith(".")) or last in GIVEN_NAMES:
             take_name(*m.span("name"))
-    for m in KNOWN.finditer(plain, overlapped=True):
+    # Given names with accents aren't among the starts: texts with letters beyond ASCII are searched whole.
+    around = [(0, len(plain))] if not low.isascii() else [(max(0, at - _WINDOW), at + 2 * _WINDOW) for at in places["given"]]
+    known = {m.span(): m for a, b in around for m in KNOWN.finditer(plain, a, b, overlapped=True) if b >= len(plain) or m.end() < b - 1}
+    for m in (known[k] for k in sorted(known)):
         given = m["given"] or m["given2"]
         if fold(given) in GIVEN_NAMES:
             take_name(*m.span("name"))
