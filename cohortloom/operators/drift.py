@@ -199,26 +199,28 @@ def field_evidence(fields: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     statuses: (file_id, field, old_kind, new_kind, status) with status kept, gone or
     new.  evidence: one row for each field that went and each that came in a file,
-    with counts over the samples both files hold.
+    with counts over the samples both files hold.  Both build on the pairs of files and
+    the statuses several times; these have a row a file and a row a field, and are written.
     """
     files = fields.select("gse_key", "release_no", "file_id").distinct()
     by_release = files.groupBy("gse_key", "release_no").agg(F.min("file_id").alias("first_file"))
     line = Window.partitionBy("gse_key").orderBy("release_no")
     before = by_release.select("gse_key", "release_no", F.lag("first_file").over(line).alias("prev_file")).where("prev_file is not null")
-    pairs = files.join(before, ["gse_key", "release_no"]).select("file_id", "prev_file")
+    pairs = cut_lineage(files.join(before, ["gse_key", "release_no"]).select("file_id", "prev_file"))
     kinds = fields.groupBy("file_id", "field").agg(F.max("kind").alias("kind"))
     new = kinds.join(pairs.select("file_id"), "file_id").select("file_id", "field", F.col("kind").alias("new_kind"))
     old = kinds.withColumnRenamed("file_id", "prev_file").join(pairs, "prev_file").select("file_id", "field", F.col("kind").alias("old_kind"))
-    statuses = old.join(new, ["file_id", "field"], "full_outer").withColumn(
-        "status", F.when(F.col("old_kind").isNull(), "new").when(F.col("new_kind").isNull(), "gone").otherwise("kept")
-    )
+    status = F.when(F.col("old_kind").isNull(), "new").when(F.col("new_kind").isNull(), "gone").otherwise("kept")
+    statuses = cut_lineage(old.join(new, ["file_id", "field"], "full_outer").withColumn("status", status))
     both = statuses.where("status <> 'kept'").groupBy("file_id").agg(F.count_if(F.col("status") == "gone").alias("g"), F.count_if(F.col("status") == "new").alias("n")).where("g > 0 and n > 0").select("file_id")
     gone = statuses.where("status = 'gone'").join(both, "file_id").select("file_id", F.col("field").alias("old"), "old_kind")
     came = statuses.where("status = 'new'").join(both, "file_id").select("file_id", F.col("field").alias("new"), "new_kind")
-    # One value for each sample, also where a file came twice.
-    values = fields.where("canon is not null and gsm_key is not null").groupBy("file_id", "field", "gsm_key").agg(F.min("canon").alias("canon"))
-    was = values.withColumnRenamed("file_id", "prev_file").join(pairs, "prev_file").join(gone.select("file_id", F.col("old").alias("field")), ["file_id", "field"], "left_semi")
-    now = values.join(came.select("file_id", F.col("new").alias("field")), ["file_id", "field"], "left_semi")
+    # Of the fields that went and came only; one value for each sample, also where a file came twice.
+    known = fields.where("canon is not null and gsm_key is not null").select("file_id", "field", "gsm_key", "canon")
+    value = F.min("canon").alias("canon")
+    of_prev = gone.join(pairs, "file_id").select("file_id", "prev_file", F.col("old").alias("field"))
+    was = known.withColumnRenamed("file_id", "prev_file").join(of_prev, ["prev_file", "field"]).groupBy("file_id", "field", "gsm_key").agg(value)
+    now = known.join(came.select("file_id", F.col("new").alias("field")), ["file_id", "field"]).groupBy("file_id", "field", "gsm_key").agg(value)
     met = was.select("file_id", "gsm_key", F.col("field").alias("old"), F.col("canon").alias("a")).join(
         now.select("file_id", "gsm_key", F.col("field").alias("new"), F.col("canon").alias("b")), ["file_id", "gsm_key"]
     )
