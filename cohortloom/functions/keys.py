@@ -26,3 +26,13 @@ def real_value(text: Column) -> Column:
 def normal_key(text: Column) -> Column:
     """The form under which two spellings of a key are equal: trimmed, upper case, null marks null."""
     return F.upper(real_value(text))
+
+
+def wall_micros(at: Column) -> Column:
+    """Microseconds of a timestamp without zone since 1970, whatever the zone of the session.
+
+    A cast to an instant would read it in the session's zone, in which some times of
+    day don't exist and others come twice.
+    """
+    seconds = (F.unix_date(at.cast("date")).cast("long") * 24 + F.hour(at)) * 3600 + F.minute(at) * 60
+    return seconds * 1_000_000 + (F.extract(F.lit("SECOND"), at) * 1_000_000).cast("long")

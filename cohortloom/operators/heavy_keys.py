@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortloom.functions.keys import normal_key
+from cohortloom.functions.keys import normal_key, wall_micros
 
 _STATE = (
     "key_field string, key_text string, n_rows long, n_keyed long, n_runs long, n_age long, sum_age double,"
@@ -128,7 +128,7 @@ def keyed_stretches(
     return df.select(
         F.explode(F.filter(pairs, lambda p: p["key_text"].isNotNull())).alias("k"),
         normal_key(F.col(item)).alias("item"),
-        F.unix_micros(F.col(at).cast("timestamp")).alias("at_us"),
+        wall_micros(F.col(at)).alias("at_us"),
         F.col(amount).cast("double").alias("amount"),
     ).select("k.key_field", "k.key_text", "item", "at_us", F.when(~F.isnan("amount"), F.col("amount")).alias("amount"))
 

@@ -14,15 +14,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortloom.functions.keys import normal_key
+from cohortloom.functions.keys import normal_key, wall_micros
 
 _BEGIN = -(2**62)
 
 
-def _micros(at: Column) -> Column:
-    return F.unix_micros(at.cast("timestamp"))
-
-
 def existence_deltas(target: DataFrame, key: str, added: str = "loaded_at", removed: str = "removed_at") -> DataFrame:
     """(ref_key, at_us, delta, first_us): the net change of each key at each instant.
 
@@ -30,8 +26,8 @@ def existence_deltas(target: DataFrame, key: str, added: str = "loaded_at", remo
     its adding time is never in force, yet its key counts as known (delta 0).
     """
     has_end = removed in target.columns
-    start = F.coalesce(_micros(F.col(added)), F.lit(_BEGIN))
-    stop = _micros(F.col(removed)) if has_end else F.lit(None).cast("long")
+    start = F.coalesce(wall_micros(F.col(added)), F.lit(_BEGIN))
+    stop = wall_micros(F.col(removed)) if has_end else F.lit(None).cast("long")
     rows = target.select(normal_key(F.col(key)).alias("ref_key"), start.alias("start"), stop.alias("stop")).where("ref_key is not null")
     void = F.coalesce(F.col("stop") <= F.col("start"), F.lit(False))
     steps = F.array(
@@ -81,7 +77,7 @@ def orphan_references(
     """
     switches = in_force_switches(existence_deltas(target, target_key))
     refs = source.select(
-        F.col(row_id).alias("row_id"), normal_key(F.col(key)).alias("ref_key"), _micros(F.col(at)).alias("ref_us"), F.date_format(F.col(at), "yyyy-MM").alias("load_month")
+        F.col(row_id).alias("row_id"), normal_key(F.col(key)).alias("ref_key"), wall_micros(F.col(at)).alias("ref_us"), F.date_format(F.col(at), "yyyy-MM").alias("load_month")
     ).where("ref_key is not null")
     # The number of switches up to the row's time tells the state: odd is in force.
     count = F.size(F.filter("switches", lambda s: s <= F.col("ref_us")))
