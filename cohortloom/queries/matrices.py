@@ -13,7 +13,7 @@ from cohortloom.operators.finalize import finalize_report, finalized
 from cohortloom.session import load
 
 
-def cells(spark: SparkSession, d: str) -> DataFrame:
+def cells(spark: SparkSession, d: str, agg=F.avg) -> DataFrame:
     """Cells of five cohorts, in log scale (of the quantity) in the even ones and linear (the price) in the odd.
 
     No value is a short decimal, so that no rounded result hangs on a tie.
@@ -25,7 +25,7 @@ def cells(spark: SparkSession, d: str) -> DataFrame:
         items.select("l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
         .join(where, "l_suppkey")
         .groupBy(F.col("n_regionkey").cast("string").alias("cohort_id"), F.col("l_partkey").cast("string").alias("feature_id"), F.col("l_suppkey").cast("string").alias("sample_id"))
-        .agg(F.avg(value).alias("value"))
+        .agg(agg(value).alias("value"))
     )
 
 
@@ -102,7 +102,7 @@ def normalize_matrix(spark, d):
 
 
 def quantile_normalize(spark, d):
-    return _r(M.quantile_normalized(_r(cells(spark, d), 6)), 6)
+    return _r(M.quantile_normalized(cells(spark, d, F.max)), 6)
 
 
 def _by_gene(spark, d, status):
@@ -274,7 +274,7 @@ SQL = {
     "normalize_matrix": _CELLS + """, o as (select cohort_id, count(distinct feature_id) >= 10 and count(distinct sample_id) > count(distinct feature_id) as turned from cells group by all)
         select cohort_id, case when turned then sample_id else feature_id end as feature_id, case when turned then feature_id else sample_id end as sample_id,
         round(case when needs_log2 then log2(value + 1) else value end, 4) as value from cells join flags using (cohort_id) join o using (cohort_id)""",
-    "quantile_normalize": _CELLS + """, r as (select *, row_number() over (partition by cohort_id, sample_id order by round(value, 6), feature_id) as k from cells), m as (select cohort_id, k, avg(round(value, 6)) as mean from r group by all)
+    "quantile_normalize": _CELLS.replace("avg(", "max(") + """, r as (select *, row_number() over (partition by cohort_id, sample_id order by value, feature_id) as k from cells), m as (select cohort_id, k, avg(value) as mean from r group by all)
         select cohort_id, feature_id, sample_id, round(mean, 6) as value from r join m using (cohort_id, k)""",
     "gene_frames_full_outer": """with g as (select l_linestatus, p_brand, case when p_size > 10 then p_type end as p_type, avg(l_quantity) as value from lineitem join part on l_partkey = p_partkey group by all),
         a as (select * from g where l_linestatus = 'O' and p_brand <> 'Brand#11'), b as (select * from g where l_linestatus = 'F' and p_brand <> 'Brand#12')
