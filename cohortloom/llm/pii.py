@@ -99,12 +99,12 @@ _ONE = rf"(?:{_INITIAL}|{_WORD})"
 # In either order; any case, as far as what stands around it bounds the name.
 _PLAIN_ORDER = rf"{_ONE}(?:{_SP}{_INITIAL}){{0,2}}(?:{_SP}{_PART})?{_SP}{_WORD}"
 _LOOSE = rf"(?:{_ONE}(?:{_SP}{_ONE}){{1,4}}?|{_WORD},{_SP}{_ONE}(?:{_SP}(?:{_INITIAL}|{_PART}))*?)"
-_END = r"(?=[ \n]?[,;:()<\[\"”“|_/]|['’]s\b|\.(?:\s|$)|\n|$|[ ](?:is|ist|can|could|has|had|was|were|instead|called|noted|said|wrote|uploaded|withdrew|from|on|of|born|habite|vive|wohnt|lives|at|and|und|et|y|oder|or|est|wurde|could)\b)"
+_END = r"(?=[ \n]?[,;:()<\[\"”“|_/]|['’]s\b|\.(?:\s|$)|\n|$|[ ](?:is|ist|can|could|has|had|was|were|instead|called|noted|said|wrote|uploaded|withdrew|from|on|of|born|habite|vive|wohnt|lives|at|and|und|et|y|oder|or|est|wurde|could|for|für|pour|por)\b)"
 # What stands before a person's name.
 _LEADS = (
     r"Dear|Hi|Hello|Contact ?:|Kontakt ?:|Contacto ?:|Ansprechpartner(?:in)?:|Name ?:|Patient name:|Nom ?:|Nombre ?:|Sent by|Next of kin:|Emergency contact:?|Signed consent:|Consent:|Study nurse:|Nurse:|Data manager:|PI:|Curated by|Corresponding author|[Ss]poke to"
     r"|[Tt]he nurse|[Tt]he patient,|pt|Good (?:morning|afternoon|day|evening)|label shows|Informed:|On \d[\d./\-]+|From:|To:|Cc:|\"?submitter\"?: ?\"|still reads \"|shipped to|(?:[Kk]ind|[Bb]est|[Ww]arm) regards,?|[Rr]egards,|[Ss]incerely,|Grüßen,?|Grüße,?|Gruß,?|Cordialement,|Salutations,|Saludos,|[Uu]n saludo,|Herrn?|Frau|Patientin|Bitte an|Mme|Mlle|Monsieur|Madame|M\.(?= \p{Lu}[\p{L}]+ \p{L}+ habite)"
-    r"|[Ll]a patiente|[Ll]e patient|Envoyer les tubes à|[Ee]l paciente|[Ll]a paciente|[Ll]a Sra\.|[Ee]l Sr\.|atención de|Dr\.|Prof\.|Mr\.|Mrs\.|Ms\.|reviewed by|taken by|Reported by|Submitted by|Author:|Estimad[oa]|Querid[oa]|Chère?|Sehr geehrter? (?:Herr|Frau)|Liebe[r]?"
+    r"|[Ll]a patiente|[Ll]e patient|Envoyer les tubes à|[Ee]l paciente|[Ll]a paciente|[Ll]a Sra\.|[Ee]l Sr\.|atención de|Dr\.|Prof\.|Mr\.|Mrs\.|Ms\.|reviewed by|taken by|Thanks to|Dank an|Merci à|Gracias a|Reported by|Submitted by|Author:|Estimad[oa]|Querid[oa]|Chère?|Sehr geehrter? (?:Herr|Frau)|Liebe[r]?"
 )
 LED = regex.compile(rf"(?:^|(?<![\p{{L}}\d]))(?:{_LEADS})(?:(?<=\p{{L}})[ \n]{{1,2}}|(?<=[^\p{{L}}])[ \n]{{0,2}})(?:(?:Dr|Prof|Mr|Mrs|Ms|Herr|Frau)\.?[ ])?(?P<name>{_LOOSE}){_END}")
 # A row of a table with a person's name and number in neighbouring cells.
@@ -113,6 +113,8 @@ ROW = regex.compile(rf"\|[ ]?(?P<name>{_LOOSE})[ ]?\|[ ]?(?P<id>{_ID_BODY})[ ]?(
 ADDRESSED = regex.compile(rf"(?<![\p{{L}}\d])(?:Attn\.?:?|Attention:?|c/o|z\. ?Hd\.|à l'attention de|FAO)[ ]{{1,2}}(?P<name>{_PLAIN_ORDER}|{_WORD},{_SP}{_ONE}(?:{_SP}{_INITIAL}){{0,2}})(?![\p{{L}}])")
 # Before an address in pointed brackets, or a remark how to reach a person.
 FOLLOWED = regex.compile(rf"(?:(?<=[.!?。:;\"]|\s|^))(?P<name>{_LOOSE})[ ](?=<[^<>\n]*(?:@|\bat\b|\bAT\b)|\((?:reach at|mail|e-?mail|tel|phone|cell|mobile)\b)")
+# A second name joined to one.
+JOINED = regex.compile(rf"[ ](?:and|und|et|y|&)[ ](?P<name>{_PLAIN_ORDER}|{_WORD},{_SP}{_ONE}){_END}")
 _HOW_TO_REACH = regex.compile(r"[ ](?:<[^<>\n]*(?:@|\bat\b|\bAT\b)|\((?:reach at|mail|e-?mail|tel|phone|cell|mobile)\b)")
 #: No name and no identity number is longer.
 _WINDOW = 100
@@ -121,7 +123,7 @@ KNOWN = regex.compile(
     rf"(?<![\p{{L}}\d@._\-])(?P<name>(?P<given>{_TITLE})(?:{_SP}{_INITIAL}){{0,2}}(?:{_SP}{_PART})?{_SP}{_SURNAME}|{_SURNAME},{_SP}(?P<given2>{_TITLE})(?:{_SP}{_INITIAL}){{0,2}}(?:{_SP}{_PART})?)(?![\p{{L}}\d@])"
 )
 # Words after a surname that make it a method's or an institution's.
-_THINGS = regex.compile(r"(?:['’]s)?[ ](?:score|grade|buffer|syndrome|stain|plot|test|assay|index|method|disease|medium|curve|Institute|Hospital|Clinic|Centre|Center|University|Biobank|Tissue Bank|Street|Road|Lane|Ave|St)\b")
+_THINGS = regex.compile(r"(?:['’]s)?[ ](?:score|grade|buffer|syndrome|stain|plot|test|assay|index|method|disease|medium|curve|Institute|Hospital(?![ ](?:number|no\.))|Clinic|Centre|Center|University|Biobank|Tissue Bank|Street|Road|Lane|Ave|St)\b")
 # Words that look like part of a name and aren't.
 _NO_NAME = frozenset("the a an this that these those all any team colleagues colleague sir madam data curator support desk list group patient patients sample samples slides files file room note no row of for with and in on at to by is was were are phone tel email mail".split())
 
@@ -140,7 +142,7 @@ _LABEL_STARTS = (
 _LEAD_STARTS = (
     "dear|hi|hello|contact|kontakt|ansprechpartner|name|patient name|nom|nombre|sent by|next of kin:|emergency contact|signed consent:|consent:|study nurse:|nurse:|data manager:|pi:|curated by|corresponding author|spoke to"
     "|the nurse|the patient,|pt|good |label shows|informed:|on |from:|to:|cc:|submitter|still reads|shipped to|kind regards|best regards|warm regards|regards,|sincerely,|grüßen|grüße|gruß|cordialement|salutations|saludos|un saludo"
-    "|herr|frau|patientin|bitte an|mme|mlle|monsieur|madame|m.|la patiente|le patient|envoyer les tubes|el paciente|la paciente|la sra.|el sr.|atención de|dr.|prof.|mr.|mrs.|ms.|reviewed by|taken by|reported by|submitted by|author:"
+    "|herr|frau|patientin|bitte an|mme|mlle|monsieur|madame|m.|la patiente|le patient|envoyer les tubes|el paciente|la paciente|la sra.|el sr.|atención de|dr.|prof.|mr.|mrs.|ms.|reviewed by|taken by|thanks to|dank an|merci à|gracias a|reported by|submitted by|author:"
     "|estimad|querid|chèr|sehr geehrte|liebe"
 ).split("|")
 _NUMBER_BEFORE_CAPITAL = re.compile(r"\d[A-Za-z]? [^\W\d_a-z]")
@@ -298,7 +300,10 @@ def find_entities(text: str | None) -> list[tuple[str, int, int]]:
         given = m["given"] or m["given2"]
         if fold(given) in GIVEN_NAMES:
             take_name(*m.span("name"))
-    for name in names:
+    for kind, _, end in list(spans.found):
+        if kind == "name" and (m := JOINED.match(plain, end)):
+            take_name(*m.span("name"))
+    for name in sorted(names):
         at = plain.find(name)
         while at >= 0:
             end = at + len(name)

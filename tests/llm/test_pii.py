@@ -24,6 +24,7 @@ CASES = [
     "请将样本寄至«address:白梧街76号10栋251室»。患者身份证号«id_number:000000189972002192»，联系电话：«phone:０１０－１５５０９４１８»。",
     "sample_267|«name:Chidi F. Lonvik»|«id_number:999 296 2005»|liver",
     'The header still reads "«name:Renée Pouides»_cerebellum"; remove it.',
+    "Thanks to «name:Ada Muster» and «name:C. Waesquist» for scoring the slides.",
     "",
     "   \n",
     "x " * 30_000 + "Dear «name:Ada Muster», the files came.",
