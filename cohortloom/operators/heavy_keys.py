@@ -123,14 +123,19 @@ def _join(left: dict, right: dict) -> dict:
 def keyed_stretches(
     df: DataFrame, key_fields: list[str], item: str = "gsm_id", at: str = "loaded_at", amount: str = "age"
 ) -> DataFrame:
-    """One row for each row and key field that has a key: (key_field, key_text, item, at_us, amount)."""
+    """One row for each row and key field that has a key: (key_field, key_text, item, at_us, tie, amount).
+
+    ``tie`` is a hash of row_id where there is one: rows alike in all else can then still be cut apart.
+    """
+    tie = F.xxhash64("row_id") if "row_id" in df.columns else F.lit(0).cast("long")
     pairs = F.array(*[F.struct(F.lit(name).alias("key_field"), normal_key(F.col(name)).alias("key_text")) for name in key_fields])
     return df.select(
         F.explode(F.filter(pairs, lambda p: p["key_text"].isNotNull())).alias("k"),
         normal_key(F.col(item)).alias("item"),
         wall_micros(F.col(at)).alias("at_us"),
+        tie.alias("tie"),
         F.col(amount).cast("double").alias("amount"),
-    ).select("k.key_field", "k.key_text", "item", "at_us", F.when(~F.isnan("amount"), F.col("amount")).alias("amount"))
+    ).select("k.key_field", "k.key_text", "item", "at_us", "tie", F.when(~F.isnan("amount"), F.col("amount")).alias("amount"))
 
 
 def per_key_summary(
@@ -149,7 +154,7 @@ def per_key_summary(
     ``df`` other than those named are not read.
     """
     rows = keyed_stretches(df, key_fields, item, at, amount)
-    order = ["key_field", "key_text", "item", "at_us"]
+    order = ["key_field", "key_text", "item", "at_us", "tie"]
     ranged = rows.repartitionByRange(partitions, *order) if partitions else rows.repartitionByRange(*order)
     states = ranged.sortWithinPartitions(*order).mapInArrow(_fold, _STATE)
     # All states of a key: one a partition that holds a part of it.  Their order is that of the secondary column; a

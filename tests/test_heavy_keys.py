@@ -3,8 +3,9 @@ from collections import defaultdict
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
-from cohortloom.operators.heavy_keys import heavy_keys, per_key_summary
+from cohortloom.operators.heavy_keys import heavy_keys, keyed_stretches, per_key_summary
 
 SCHEMA = "row_id long, gsm_id string, gse_id string, platform_id string, age double, loaded_at timestamp_ntz, key_text string, item string"
 T0 = datetime(2020, 1, 1)
@@ -57,3 +58,14 @@ def test_share_counts_rows_without_key(spark):
     df = spark.createDataFrame([(i, "S", "A" if i < 3 else None, None, None, T0, "", "") for i in range(100)], SCHEMA)
     assert [tuple(r) for r in heavy_keys(df, ["gse_id", "platform_id"]).collect()] == [("gse_id", "A")]
     assert heavy_keys(df, ["gse_id"], share=0.031).collect() == []
+
+
+def test_rows_alike_are_spread(spark):
+    """A key whose rows differ in nothing but row_id is cut as well."""
+    df = spark.range(4000).selectExpr("id as row_id", "cast(null as string) as gsm_id", "'K' as gse_id", "cast(null as double) as age", "cast(null as timestamp_ntz) as loaded_at")
+    rows = keyed_stretches(df, ["gse_id"])
+    order = ["key_field", "key_text", "item", "at_us", "tie"]
+    sizes = [n for (n,) in rows.repartitionByRange(8, *order).groupBy(F.spark_partition_id()).agg(F.count(F.lit(1))).select("count(1)").collect()]
+    assert max(sizes) < 1500
+    (r,) = per_key_summary(df, ["gse_id"], partitions=8).collect()
+    assert (r.n_rows, r.n_samples, r.n_redelivered, r.mean_age, r.first_us, r.widest_gap_us) == (4000, 0, 0, None, None, None)
