@@ -243,9 +243,12 @@ def field_evidence(fields: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def concept_names(clusters: DataFrame, limit: int = 10_000) -> dict[str, int]:
-    """Known field names in lower case with their cluster; the list of clusters is a dimension of at most ``limit`` names."""
+    """Known field names in lower case with their cluster; more than ``limit`` names are refused."""
     rows = clusters.select("cluster_id", F.explode(F.concat(F.array("canonical_name"), F.coalesce("source_columns", F.array()))).alias("name")).where("name is not null")
-    return {r["name"].lower(): r["cluster_id"] for r in rows.limit(limit).collect()}
+    found = rows.orderBy("cluster_id", "name").limit(limit + 1).collect()
+    if len(found) > limit:
+        raise ValueError(f"the clusters have more than {limit} names")
+    return {r["name"].lower(): r["cluster_id"] for r in reversed(found)}
 
 
 def schema_changes(records: DataFrame, clusters: DataFrame, fields: DataFrame | None = None) -> DataFrame:
