@@ -31,6 +31,8 @@ EMAIL = regex.compile(rf"(?<![\p{{Latin}}\d._%+\-])(?:[a-zA-Z\d][a-zA-Z\d._%+\-]
 
 #: Where an email may be: an at in any spelling.
 _AT_SIGN = regex.compile(r"@|\bAT\b|[(\[{]\s?[aA][tT]\s?[)\]}]|[ ]at[ ](?=\S+[ ]dot[ ])")
+#: How far an email may go behind its at.
+_DOMAIN = regex.compile(rf"[ ]?[\p{{L}}\d\-]*+(?:(?:{_DOT}|[ ]dot[ ])[\p{{L}}\d\-]*+)*+")
 
 # --- identity numbers ----------------------------------------------------------------------------------------------
 # Labels before a person's number.
@@ -240,15 +242,18 @@ def find_entities(text: str | None) -> list[tuple[str, int, int]]:
         low = "".join(c.lower() if len(c.lower()) == 1 else c for c in plain)
     places = _places(plain, low)
     spans = _Spans(plain)
+    done = 0
     for sign in _AT_SIGN.finditer(plain):
         start = sign.start()
-        while start and plain[start - 1] == " ":
+        if start < done:
+            continue
+        while start > done and plain[start - 1] == " ":
             start -= 1
-        while start and not plain[start - 1].isspace():
+        while start > done and not plain[start - 1].isspace():
             start -= 1
-        m = EMAIL.search(plain, start, sign.end() + 400)
-        if m and m.start() < sign.end() and all(m.end() <= a or b <= m.start() for _, a, b in spans.found):
+        for m in EMAIL.finditer(plain, start, _DOMAIN.match(plain, sign.end()).end()):
             spans.found.append(("email", *m.span()))
+            done = m.end()
     labelled = [m.span("id") for start in places["label"] if (m := ID_AFTER_LABEL.match(plain, start))]
     for label in _LABEL_BEHIND.finditer(plain):
         labelled += [m.span("id") for m in ID_BEFORE_LABEL.finditer(plain, max(0, label.start() - _WINDOW), label.end()) if m.end() == label.start()]

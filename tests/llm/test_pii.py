@@ -1,6 +1,8 @@
+import random
+
 import pytest
 
-from cohortloom.llm.pii import find_entities
+from cohortloom.llm.pii import EMAIL, find_entities
 from cohortloom.llm.surrogates import clashes, detected, entity_of, entity_places, placeholder, surrogate, with_placeholders, with_surrogates
 
 # «kind:text» marks what must be found, in the order of the text.
@@ -94,3 +96,24 @@ def test_clashing_surrogates_are_told_apart(spark):
     out = [r.text for r in with_surrogates(df, "k").collect()]
     assert len(set(out)) == len(names)
     assert bumped.count() >= 0
+
+
+def test_emails_without_a_blank_between():
+    for case in (
+        "«email:a@x.org»;«email:b@y.org»",
+        "<«email:a@x.org»>,<«email:b@y.org»>",
+        "To «email:a@x.org»/«email:b@y.org»|«email:c@z.org», all.",
+        "邮箱：«email:a@x.org»，«email:b@y.org»",
+        "«email:a@x.org»;«email:b (at) y [dot] org»",
+        f"«email:a@{'b' * 450}.org»;«email:b@y.org»",
+    ):
+        text, spans = parsed(case)
+        assert find_entities(text) == spans
+
+
+def test_emails_are_those_of_one_search_over_the_text():
+    draw = random.Random(7)
+    parts = ["a", "b-c", "x.org", ".", "@", "@", " ", ";", "，", "者", " at ", " dot ", " AT ", " DOT ", "(at)", "[dot]", "é"]
+    for _ in range(5000):
+        text = "".join(draw.choice(parts) for _ in range(draw.randint(2, 16)))
+        assert [s[1:] for s in find_entities(text) if s[0] == "email"] == [m.span() for m in EMAIL.finditer(text.replace("，", ","))], text
