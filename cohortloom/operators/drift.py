@@ -30,7 +30,7 @@ TYPES = ["", "boolean", "integer", "decimal", "text", "list"]
 # Texts of one truth value in the codings of a boolean.
 TRUTH = {"true": "1", "yes": "1", "y": "1", "false": "0", "no": "0", "n": "0"}
 
-_CELLS = "array<struct<field:string,kind:int,canon:string>>"
+_CELLS = "array<struct<field:string,kind:int,canon:string,raw:string>>"
 
 
 class _Number(str):
@@ -52,8 +52,20 @@ def _canon(value: object) -> str:
     return "; ".join(re.split(r"\s*[;,|/]\s*", text))
 
 
+def _json(value: object) -> str:
+    """A value as JSON, its numbers as written."""
+    if isinstance(value, list):
+        return "[" + ", ".join(map(_json, value)) + "]"
+    if isinstance(value, dict):
+        return "{" + ", ".join(f"{json.dumps(k, ensure_ascii=False)}: {_json(v)}" for k, v in value.items()) + "}"
+    return str(value) if isinstance(value, _Number) else json.dumps(value, ensure_ascii=False)
+
+
 def payload_cells(text: str | None) -> list[dict]:
-    """The fields of one JSON object: name (nested ones joined by '.'), type by rank, canonical value; [] if it isn't one."""
+    """The fields of one JSON object: name (nested ones joined by '.'), type by rank, canonical value, value as written; [] if it isn't one.
+
+    As written is the text of a string, and the JSON of any other value.
+    """
     try:
         record = json.loads(text, parse_float=_Number)
     except (ValueError, TypeError, RecursionError):
@@ -67,7 +79,8 @@ def payload_cells(text: str | None) -> list[dict]:
                 walk(value, full)
                 continue
             kind = 0 if value is None or isinstance(value, dict) else 1 if isinstance(value, bool) else 5 if isinstance(value, list) else 2 if isinstance(value, int) else 3 if isinstance(value, _Number) else 4
-            out.append({"field": full, "kind": kind, "canon": _canon(value) if kind else None})
+            raw = None if not kind else value if kind == 4 and isinstance(value, str) else _json(value)
+            out.append({"field": full, "kind": kind, "canon": _canon(value) if kind else None, "raw": raw})
 
     if isinstance(record, dict):
         walk(record, "")
@@ -75,7 +88,10 @@ def payload_cells(text: str | None) -> list[dict]:
 
 
 def file_fields(records: DataFrame) -> DataFrame:
-    """(gse_key, release_no, file_id, gsm_key, field, kind, canon): one row per field and record."""
+    """(gse_key, release_no, file_id, gsm_key, field, kind, canon, raw): one row per field and record.
+
+    canon is evidence for renames only; raw is the value as written.
+    """
 
     @F.pandas_udf(_CELLS)
     def decode(payloads: pd.Series) -> pd.Series:
@@ -262,7 +278,7 @@ def schema_changes(records: DataFrame, clusters: DataFrame, fields: DataFrame |
     ``file_fields`` where these are at hand; else they are decoded once and written.
     """
     concepts = concept_names(clusters)
-    fields = cut_lineage(file_fields(records)) if fields is None else fields
+    fields = cut_lineage(file_fields(records).drop("raw")) if fields is None else fields
     statuses, evidence = field_evidence(fields)
 
     @F.pandas_udf("array<struct<old:string,new:string>>")

@@ -2,20 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortloom.operators.drift import TYPES, file_fields, schema_changes
 from cohortloom.session import cut_lineage
 
 
+def _cast(raw: Column, kind: Column, widest: Column) -> Column:
+    """A value as written, in the text of a wider type."""
+    integer, decimal, text, listed = (F.lit(TYPES.index(t)) for t in ("integer", "decimal", "text", "list"))
+    truth = (kind == TYPES.index("boolean")) & widest.isin(integer, decimal)
+    item = F.when(kind == text, F.to_json(F.array(raw))).otherwise(F.concat(F.lit("["), raw, F.lit("]")))
+    return F.when(truth, F.when(raw == "true", "1").otherwise("0")).when((widest == listed) & (kind != listed), item).otherwise(raw)
+
+
 def unified_samples(records: DataFrame, clusters: DataFrame) -> DataFrame:
     """(gse_key, gsm_key, field, value, value_type, n_files, last_release): the values of all files under one field name.
 
     A field's name is its cluster's canonical name where known, else the last name a
     chain of renames leads to.  Of several files with a value the one of the highest
-    release counts; its type is the widest of the field in the cohort.  Null values
-    give no row; records without a sample key give none.
+    release counts, as it is written there and cast to the widest type of the field
+    in the cohort: true and false are 1 and 0 among numbers, a single value among lists is
+    a list of one, in JSON.  Null values give no row; records without a sample key give none.
     """
     decoded = cut_lineage(file_fields(records))
     changes = cut_lineage(schema_changes(records, clusters, decoded))
@@ -35,8 +44,8 @@ def unified_samples(records: DataFrame, clusters: DataFrame) -> DataFrame:
     named = fields.join(step, ["gse_key", "field"], "left").withColumn("last_name", F.coalesce("next", "field"))
     named = named.join(known, F.lower("last_name") == known["name"], "left").withColumn("field_name", F.coalesce("canonical", "last_name"))
     values = named.groupBy("gse_key", "gsm_key", F.col("field_name").alias("field")).agg(
-        F.max_by("canon", F.struct("release_no", "file_id", "canon")).alias("value"), F.max("release_no").alias("last_release"), F.count_distinct("file_id").alias("n_files"), F.max("kind").alias("kind")
+        F.max_by(F.struct("raw", F.col("kind").alias("raw_kind")), F.struct("release_no", "file_id", "canon", "raw", "kind")).alias("v"), F.max("release_no").alias("last_release"), F.count_distinct("file_id").alias("n_files")
     )
     widest = named.groupBy("gse_key", F.col("field_name").alias("field")).agg(F.max("kind").alias("widest"))
     name_of = F.element_at(F.array(*[F.lit(t) for t in TYPES]), F.col("widest") + 1)
-    return values.join(widest, ["gse_key", "field"]).select("gse_key", "gsm_key", "field", "value", name_of.alias("value_type"), "n_files", "last_release")
+    return values.join(widest, ["gse_key", "field"]).select("gse_key", "gsm_key", "field", _cast(F.col("v.raw"), F.col("v.raw_kind"), F.col("widest")).alias("value"), name_of.alias("value_type"), "n_files", "last_release")

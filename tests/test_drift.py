@@ -88,3 +88,14 @@ def test_one_table(spark, clusters):
     files = [(1, "G", 1, values("age_yrs", [61, 40, 75])), (2, "G", 2, values("age at dx", ["61", "40", 75.5])), (3, "G", 3, values("age at dx", [62, None, 75.5]))]
     got = {(r.gsm_key, r.field, r.value, r.value_type) for r in unified_samples(frame(spark, files), clusters).collect()}
     assert {v for s, _, v, _ in got if s == "S0"} >= {"62"} and all(t == "text" for *_, t in got if _[1] == "age at dx")
+
+
+def test_values_stay_as_written(spark, clusters):
+    text = ["5 mg", "5 kg", "3 months", "3 years", "120/80", "a,b", "Yes", "Mixed Case"]
+    one = merge(values("note", text), values("id", [9007199254740993, True, 3]), values("dose", [1, 2.50, True]), values("list", [["A", 1.0, None], 'x/"é"', 2]), values("ok", [True, False, True]))
+    got = {(r.field, int(r.gsm_key[1:])): (r.value, r.value_type) for r in unified_samples(frame(spark, [(1, "G", 1, one)]), clusters).collect()}
+    assert [got["note", i] for i in range(len(text))] == [(v, "text") for v in text]
+    assert [got["id", i] for i in range(3)] == [("9007199254740993", "integer"), ("1", "integer"), ("3", "integer")]
+    assert [got["dose", i] for i in range(3)] == [("1", "decimal"), ("2.5", "decimal"), ("1", "decimal")]
+    assert [json.loads(got["list", i][0]) for i in range(3)] == [["A", 1.0, None], ['x/"é"'], [2]] and got["list", 0] == ('["A", 1.0, null]', "list")
+    assert [got["ok", i] for i in range(3)] == [("true", "boolean"), ("false", "boolean"), ("true", "boolean")]
