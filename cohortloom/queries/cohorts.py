@@ -227,8 +227,7 @@ def sample_id_match(spark, d):
 
 
 def positional_match(spark, d):
-    cols = _columns(spark, d).where("substr(cohort_id, -1) in ('1', '3', '5')")
-    samples = _samples(spark, d)
+    cols, samples = _columns(spark, d), _samples(spark, d)
     short = samples.join(cols.groupBy("cohort_id").agg(F.count(F.lit(1)).alias("n")), "cohort_id")
     matched = P.matched_columns(cols, samples, ["title"])
     return P.positional_matches(matched, short.drop("n")).drop("ord")

@@ -17,6 +17,7 @@ from cohortloom.operators import report as R
 from cohortloom.operators import stats as S
 from cohortloom.plans.providers import FilePlans, plan_key, rule_filters
 from cohortloom.plans.schemas import ColumnCluster, ColumnMappingPlan, SurvivalMapping, cluster_plan, column_plan
+from cohortloom.queries.cohorts import QUERIES
 
 CELLS = "cohort_id string, feature_id string, sample_id string, value double"
 
@@ -230,3 +231,13 @@ def test_designs():
         assert list(S.design_matrix(ann, "g", ["bad"])[0].columns) == ["intercept", "g[b]"]
     with pytest.raises(ValueError):
         S.design_matrix(ann.assign(g=list("abca")), "g")
+
+
+def test_positional_match_has_all_cohorts(spark, rows, tmp_path):
+    # Cohorts G0 to G9 of one open column and one sample each; G2 has a second sample, so that its counts differ.
+    ids = [(i, f"G{i}", f"col{i}", f"GSM{i}") for i in range(10)]
+    spark.createDataFrame(ids, "row_id long, gse_id string, expression_id string, gsm_id string").write.parquet(str(tmp_path / "sample_id_map.parquet"))
+    samples = [(i, f"G{i}", f"GSM{i}", "tumour", "liver") for i in range(10)] + [(10, "G2", "GSM10", "normal", "liver")]
+    spark.createDataFrame(samples, "row_id long, gse_id string, gsm_id string, title string, tissue string").write.parquet(str(tmp_path / "annotation.parquet"))
+    want = [(f"G{i}", f"col{i}", f"GSM{i}", "positional_fallback", 0.5) if i != 2 else ("G2", "col2", None, "unmatched", 0.0) for i in range(10)]
+    assert rows(QUERIES["positional_match"](spark, str(tmp_path)), "cohort_id", "expression_id", "gsm_id", "match_method", "confidence") == sorted(want, key=repr)
