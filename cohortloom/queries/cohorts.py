@@ -244,11 +244,11 @@ def _edges(spark, d):
 
 
 def graph_closure(spark, d):
-    return G.closure(load(spark, d, "series").where("row_id <= 5").select(F.col("row_id").alias("id")), _edges(spark, d))
+    return G.closure(load(spark, d, "series").select(F.col("row_id").alias("id")), _edges(spark, d))
 
 
 def graph_leaves(spark, d):
-    return G.leaves(load(spark, d, "series").where("row_id <= 5").select(F.col("row_id").alias("id")), _edges(spark, d))
+    return G.leaves(load(spark, d, "series").select(F.col("row_id").alias("id")), _edges(spark, d))
 
 
 def orphans_anti(spark, d):

@@ -241,3 +241,21 @@ def test_positional_match_has_all_cohorts(spark, rows, tmp_path):
     spark.createDataFrame(samples, "row_id long, gse_id string, gsm_id string, title string, tissue string").write.parquet(str(tmp_path / "annotation.parquet"))
     want = [(f"G{i}", f"col{i}", f"GSM{i}", "positional_fallback", 0.5) if i != 2 else ("G2", "col2", None, "unmatched", 0.0) for i in range(10)]
     assert rows(QUERIES["positional_match"](spark, str(tmp_path)), "cohort_id", "expression_id", "gsm_id", "match_method", "confidence") == sorted(want, key=repr)
+
+
+def test_graph_queries_start_from_all_series(spark, rows, tmp_path):
+    ids = range(1, 131)
+    spark.createDataFrame([(i,) for i in ids], "row_id long").write.parquet(str(tmp_path / "series.parquet"))
+    children = {}
+    for i in ids:
+        if i % 7 and i >= 3:
+            children.setdefault(i // 3, []).append(i)
+    children.setdefault(40, []).append(1)
+    reached = set()
+    for root in ids:
+        depth, level = {root: 0}, [root]
+        while level:
+            level = [c for p in level for c in children.get(p, ()) if depth.setdefault(c, depth[p] + 1) == depth[p] + 1 and c != p]
+        reached |= {(root, i, n) for i, n in depth.items()}
+    assert rows(QUERIES["graph_closure"](spark, str(tmp_path)), "root", "id", "depth") == sorted(reached, key=repr)
+    assert rows(QUERIES["graph_leaves"](spark, str(tmp_path)), "root", "id") == sorted(((r, i) for r, i, _ in reached if i not in children), key=repr)
