@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +10,32 @@ from cohortloom.operators.drift import TYPES, file_fields, schema_changes
 from cohortloom.session import cut_lineage
 
 
+def last_names(steps: list[tuple[str, str, int]]) -> dict[str, str]:
+    """The name that the renames (name, next name, time) of one cohort lead to at last, for each renamed name.
+
+    A name has one next name.  A cycle of any length ends at the name that its latest
+    rename gave, so that name is none of the renamed.
+    """
+    after = {name: following for name, following, _ in steps}
+    at = {name: time for name, _, time in steps}
+    last: dict[str, str] = {}
+    for start in list(after):
+        path, place, name = [], {}, start
+        while name in after and name not in last:
+            if name in place:
+                latest = max(path[place[name] :], key=lambda n: (at[n], n))
+                end = after[latest]
+                del after[end]
+                name = end
+                break
+            place[name] = len(path)
+            path.append(name)
+            name = after[name]
+        end = last.get(name, name)
+        last.update((n, end) for n in path if n != end)
+    return last
+
+
 def _cast(raw: Column, kind: Column, widest: Column) -> Column:
     """A value as written, in the text of a wider type."""
     integer, decimal, text, listed = (F.lit(TYPES.index(t)) for t in ("integer", "decimal", "text", "list"))
@@ -33,14 +60,14 @@ def unified_samples(records: DataFrame, clusters: DataFrame) -> DataFrame:
     known = known.groupBy(F.lower("name").alias("name")).agg(F.min("canonical_name").alias("canonical"))
     where = fields.select("gse_key", "file_id", "release_no").distinct()
     renames = changes.where("drift = 'renamed'").join(where, "file_id").select("gse_key", F.col("release_no").alias("changed_at"), F.col("old_name").alias("field"), "new_name")
-    # Each name's successor in its cohort; a chain is followed by doubling, so a chain of n renames needs log2(n) steps.
-    step = renames.groupBy("gse_key", "field").agg(F.max_by("new_name", "changed_at").alias("next"), F.max("changed_at").alias("at"))
-    back = step.select("gse_key", F.col("next").alias("field"), F.col("field").alias("from"), F.col("at").alias("back_at"))
-    loops = step.join(back, ["gse_key", "field"], "left").where((F.col("next") == F.col("from")) & (F.col("at") < F.col("back_at"))).select("gse_key", "field")
-    step = cut_lineage(step.join(loops, ["gse_key", "field"], "left_anti").select("gse_key", "field", "next"))
-    for _ in range(4):
-        onward = step.select("gse_key", F.col("field").alias("next"), F.col("next").alias("next2"))
-        step = step.join(onward, ["gse_key", "next"], "left").select("gse_key", "field", F.coalesce("next2", "next").alias("next"))
+    # Each name's successor in its cohort; the renames of a cohort are as many as its names, not its records.
+    step = renames.groupBy("gse_key", "field").agg(F.max_by("new_name", F.struct("changed_at", "new_name")).alias("next"), F.max("changed_at").alias("at"))
+
+    @F.pandas_udf("array<struct<field:string,next:string>>")
+    def resolved(steps: pd.Series) -> pd.Series:
+        return steps.map(lambda rows: [{"field": a, "next": b} for a, b in last_names([(r["field"], r["next"], r["at"]) for r in rows]).items()])
+
+    step = step.groupBy("gse_key").agg(F.sort_array(F.collect_list(F.struct("field", "next", "at"))).alias("steps")).select("gse_key", F.explode(resolved("steps")).alias("s")).select("gse_key", "s.*")
     named = fields.join(step, ["gse_key", "field"], "left").withColumn("last_name", F.coalesce("next", "field"))
     named = named.join(known, F.lower("last_name") == known["name"], "left").withColumn("field_name", F.coalesce("canonical", "last_name"))
     values = named.groupBy("gse_key", "gsm_key", F.col("field_name").alias("field")).agg(

@@ -4,7 +4,7 @@ from datetime import datetime
 import pytest
 
 from cohortloom.operators.drift import _canon, flood, match_fields, payload_cells, schema_changes
-from cohortloom.operators.drift_table import unified_samples
+from cohortloom.operators.drift_table import last_names, unified_samples
 
 SCHEMA = "row_id long, file_id long, gse_id string, release_no int, gsm_id string, received_at timestamp_ntz, payload string, field string, canon string"
 CLUSTERS = "cluster_id long, canonical_name string, source_columns array<string>, notes string"
@@ -99,3 +99,19 @@ def test_values_stay_as_written(spark, clusters):
     assert [got["dose", i] for i in range(3)] == [("1", "decimal"), ("2.5", "decimal"), ("1", "decimal")]
     assert [json.loads(got["list", i][0]) for i in range(3)] == [["A", 1.0, None], ['x/"é"'], [2]] and got["list", 0] == ('["A", 1.0, null]', "list")
     assert [got["ok", i] for i in range(3)] == [("true", "boolean"), ("false", "boolean"), ("true", "boolean")]
+
+
+def test_chains_and_cycles_of_renames():
+    chain = [(f"n{i}", f"n{i + 1}", i) for i in range(500)]
+    assert set(last_names(chain).values()) == set(last_names(chain[::-1]).values()) == {"n500"}
+    assert last_names([("a", "b", 2), ("b", "a", 3)]) == {"b": "a"}
+    for turn in range(3):
+        cycle = [("a", "b", 2), ("b", "c", 3), ("c", "a", 4), ("x", "y", 1), ("y", "b", 2)]
+        assert last_names(cycle[turn:] + cycle[:turn]) == {"b": "a", "c": "a", "x": "a", "y": "a"}
+    assert last_names([]) == {}
+
+
+def test_a_long_chain_is_one_field(spark, clusters):
+    names = [f"name {chr(97 + i)}" for i in range(21)]
+    files = [(i + 1, "G", i + 1, values(name, [f"v{k}" for k in range(4)])) for i, name in enumerate(names)]
+    assert {r.field for r in unified_samples(frame(spark, files), clusters).collect()} == {names[-1]}
