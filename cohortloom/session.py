@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import os
 import shutil
 import tempfile
@@ -31,17 +33,24 @@ def get_spark(app: str = "cohortloom", master: str | None = None, **conf: str) -
     return builder.getOrCreate()
 
 
+#: Folders made by this process for sessions that name none, by application.
+_OWN_FOLDERS: dict[str, str] = {}
+#: Folders of intermediate tables by application, with the session that can delete them.
+_TABLES: dict[str, tuple[str, SparkSession]] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``, which all executors share.
 
-    Only where it is unset and the master is local is a temporary one made.
+    Only where it is unset and the master is local is a temporary one made; the session's
+    own settings aren't touched.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder is None:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="cohortloom-checkpoint-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        folder = _OWN_FOLDERS.setdefault(spark.sparkContext.applicationId, "") or tempfile.mkdtemp(prefix="cohortloom-checkpoint-")
+        _OWN_FOLDERS[spark.sparkContext.applicationId] = folder
     return folder
 
 
@@ -49,11 +58,37 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """``df`` written once as a table in the shared folder and read back.
 
     A lost executor then costs a read and not the work before; Parquet keeps the
-    table a fraction of what a checkpoint of rows takes.
+    table a fraction of what a checkpoint of rows takes.  The tables of an application lie
+    in one folder, which ``release`` or the end of the process deletes.
     """
-    path = f"{shared_folder(df.sparkSession).rstrip('/')}/cohortloom-{uuid.uuid4().hex}"
+    spark = df.sparkSession
+    app = spark.sparkContext.applicationId
+    home = f"{shared_folder(spark).rstrip('/')}/cohortloom-{app}"
+    _TABLES[app] = (home, spark)
+    path = f"{home}/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Delete the intermediate tables of this session's application; frames built on them can't be read any more."""
+    app = spark.sparkContext.applicationId
+    home, _ = _TABLES.pop(app, (None, None))
+    if home is not None:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(home)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    own = _OWN_FOLDERS.pop(app, None)
+    if own:
+        shutil.rmtree(own, ignore_errors=True)
+
+
+@atexit.register
+def _release_all() -> None:
+    for _, spark in list(_TABLES.values()):
+        with contextlib.suppress(Exception):  # the engine may be gone already
+            release(spark)
+    for own in _OWN_FOLDERS.values():
+        shutil.rmtree(own, ignore_errors=True)
 
 
 def spread(df: DataFrame) -> DataFrame:
