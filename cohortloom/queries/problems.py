@@ -10,6 +10,7 @@ from cohortloom.operators.drift_table import unified_samples
 from cohortloom.operators.heavy_keys import heavy_keys, per_key_summary
 from cohortloom.operators.orphans import orphan_references, reference_counts
 from cohortloom.operators.packed import split_packed
+from cohortloom.operators.units import numeric_column_days as column_days
 from cohortloom.operators.units import times_in_days
 from cohortloom.session import load
 
@@ -65,7 +66,13 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return times_in_days(load(spark, d, "followup"), load(spark, d, "survival_mapping"), load(spark, d, "numeric_column_unit"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_summary, p2_found, p2_by_month, p2_counts, p3_found, p3_samples, p5_found, p6_found)}
+def numeric_column_days(spark: SparkSession, d: str) -> DataFrame:
+    """Numbers of columns with a plain unit in days, under a derived name, beside the raw value."""
+    days = column_days(load(spark, d, "followup"), load(spark, d, "numeric_column_unit"))
+    return days.select("row_id", "raw_time", "derived_name", F.round("days", 6).alias("days"))
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_summary, p2_found, p2_by_month, p2_counts, p3_found, p3_samples, p5_found, p6_found, numeric_column_days)}
 
 _KEY = "nullif(nullif(nullif(upper(trim({0}, E' \\t\\n\\r')), ''), '---'), 'NONE')"
 _ANNOTATION_KEYS = f"""
@@ -90,6 +97,12 @@ found as (
   from judged where alive = 0)
 """
 SQL = {
+    "numeric_column_days": """
+with u as (select gse_id, column_name, min(unit) as unit from numeric_column_unit where unit in ('days', 'months', 'years') group by all)
+select f.row_id, f.raw_time, 'llm_' || lower(regexp_replace(regexp_replace(f.column_name, '[^0-9A-Za-z]+', '_', 'g'), '^_+|_+$', '', 'g')) || '_days' as derived_name,
+       round(coalesce(try_cast(f.raw_time as double), try_cast(nullif(regexp_extract(f.raw_time, '(-?[0-9]+[.]?[0-9]*)', 1), '') as double))
+             * case u.unit when 'days' then 1.0::double when 'months' then 30.4375::double else 365.25::double end, 6) as days
+from followup f join u on f.gse_id = u.gse_id and f.column_name = u.column_name""",
     "p1_found": f"""
 with k as ({_ANNOTATION_KEYS})
 select key_field, key_text from k where key_text is not null

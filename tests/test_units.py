@@ -1,6 +1,7 @@
 import pytest
 
-from cohortloom.operators.units import segment_unit, shape_rule, times_in_days, unit_of_name
+from cohortloom.operators import units as U
+from cohortloom.operators.units import in_common_unit, numeric_column_days, read_unit, segment_unit, shape_rule, times_in_days, unit_of_name, with_unit_days
 
 VALUES = "row_id long, gse_id string, gsm_id string, column_name string, raw_time string, shape string, told double"
 PLANS = "gse_id string, time_column string, time_unit string"
@@ -44,3 +45,69 @@ def test_shapes_that_hold_no_time():
     assert shape_rule("not reached") is None
     assert shape_rule("#-#-#") is None
     assert shape_rule("#") == "0.0;1.0;0"
+
+
+@pytest.mark.parametrize(
+    ("shape", "rule"),
+    [
+        ("# kg", None), ("# mg/kg", None), ("# mg per kg", None), ("#/day", None), ("# m²", None), ("# d⁻¹", None), ("# cycles", None), ("kg: #", None), ("# days at # kg", None), ("events: #/#", None),
+        ("twenty one days", "21.0;;1"), ("thirty-two weeks", "224.0;;1"), ("one and a half years", "547.875;;1"), ("half a year", "182.625;;1"), ("a couple of weeks", "14.0;;1"), ("a month and a half", "45.65625;;1"),
+        ("one hundred and five days", "105.0;;1"), ("# and a half years", "182.625;365.25;1"), ("# year and two months", "60.875;365.25;1"), ("# months after a relapse", "0.0;30.4375;1"), ("mm relapse # months", "0.0;30.4375;1"), ("# men", "0.0;1.0;0"),
+    ],
+)
+def test_other_dimensions_and_number_words(shape, rule):
+    assert shape_rule(shape) == rule
+
+
+@pytest.mark.parametrize(
+    ("text", "dimension", "size"),
+    [
+        ("m", "time", 30.4375), ("m", "length", 1), ("m", "amount_concentration", 1000), ("mm", "length", 1e-3), ("mM", "amount_concentration", 1), ("mg", "mass", 1e-3), ("mg", "time", None), ("mg/dL", "mass_concentration", 10), ("µg mL⁻¹", "mass_concentration", 1),
+        ("mg per m2", "area_dose", 1e-3), ("mg/kg/d", "daily_dose", 1e-6), ("cm³", "volume", 1e-6), ("mL", "volume", 1e-6), ("d-1", "rate", 1), ("kg/m²", "mass", None), ("millimetres", "length", 1e-3),
+    ],
+)
+def test_compound_units_of_every_dimension(text, dimension, size):
+    got = segment_unit(text, dimension)
+    assert (got is None) if size is None else got[0] == pytest.approx(size)
+
+
+def test_tries_and_priors_decide(monkeypatch):
+    """Without one of them another reading is taken."""
+
+    def without(name, value):
+        read_unit.cache_clear()
+        with monkeypatch.context() as m:
+            m.setattr(U, name, value)
+            out = shape_rule("# mg/kg"), shape_rule("# m²"), segment_unit("mm", "length"), segment_unit("m", "length"), segment_unit("kg/m²", "area_dose")
+        read_unit.cache_clear()
+        return out
+
+    flat = {d: dict.fromkeys(U.DIMENSIONS, 0.0) for d in U.DIMENSIONS}
+    usual = without("BROADCAST_RULES", 1)
+    assert usual[:2] == (None, None) and all(usual[2:])
+    assert without("_PREFIX_TRIE", {})[0] is not None
+    assert without("_EXPONENT_TRIE", {})[1] is not None
+    assert without("PRIORS", flat) != usual
+
+
+@pytest.mark.parametrize(("raw", "days"), [("5 kg", None), ("12 mg/kg", None), ("5 m2", None), ("12 d-1", None), ("twenty one days", 21), ("2 and a half weeks", 18), ("day 3", 3), ("9", 9)])
+def test_values_in_a_column_of_days(spark, raw, days):
+    df = spark.createDataFrame([(1, "G", None, "os_days", raw, "clash", 1.0)], VALUES)
+    got = times_in_days(df, spark.createDataFrame([], PLANS), spark.createDataFrame([], UNITS)).collect()
+    assert [r.time_days for r in got] == ([] if days is None else [days])
+
+
+def test_any_dimension(spark):
+    rows = [(1, "G", None, "weight_kg", "70", "", 0.0), (2, "G", None, "weight", "70 kg", "", 0.0), (3, "G", None, "weight", "150 lb", "", 0.0), (4, "G", None, "w", "5", "", 0.0), (5, "G", None, "weight", "3 days", "", 0.0)]
+    units = spark.createDataFrame([("G", "w", "mg")], UNITS)
+    got = {r.row_id: r.amount for r in in_common_unit(spark.createDataFrame(rows, VALUES), [(units, "column_name", "unit")], "mass").collect()}
+    assert got == {1: 70000.0, 2: 70000.0, 4: pytest.approx(0.005)}
+
+
+def test_columns_with_a_plain_unit(spark):
+    rows = [(1, "G", "S", "OS time", "10", "", 0.0), (2, "G", "S", "OS time", "about 2.5 m", "", 0.0), (3, "G", "S", "OS time", None, "", 0.0), (4, "G", "S", "x", "1", "", 0.0), (5, "H", "S", "OS time", "1", "", 0.0)]
+    units = spark.createDataFrame([("G", "OS time", "months"), ("G", "x", "unknown"), ("H", "OS time", "years"), ("H", "OS time", "years")], UNITS)
+    got = {r.row_id: (r.derived_name, r.days) for r in numeric_column_days(spark.createDataFrame(rows, VALUES), units).collect()}
+    assert got == {1: ("llm_os_time_days", 304.375), 2: ("llm_os_time_days", 2.5 * 30.4375), 3: ("llm_os_time_days", None), 5: ("llm_os_time_days", 365.25)}
+    wide = with_unit_days(spark.createDataFrame([("1", "2 yr", "c")], "`OS time` string, pfs string, `a.b` string"), [("OS time", "months"), ("pfs", "years"), ("a.b", "unknown"), ("gone", "days")])
+    assert wide.columns == ["OS time", "pfs", "a.b", "llm_os_time_days", "llm_pfs_days"] and wide.first()[3:] == (30.4375, 730.5)
