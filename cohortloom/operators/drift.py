@@ -2,10 +2,9 @@
 
 Consecutive files of a cohort are compared by similarity flooding.  The schema
 graph of a file has a node for each field, with edges to the words of its name,
-its type, its parent (nested objects) and its known concept.  Match scores of field
-pairs start from how well the values agree for the same samples and spread over the
-pairwise connectivity graph until they converge; then the consistent one-to-one
-correspondences with enough agreement are chosen.
+its type, its parent (nested objects), its known concept and the values it holds.  Match
+scores spread over the pairwise connectivity graph until they converge; the consistent
+one-to-one correspondences are chosen by these scores, and the values are checked.
 
 Values are compared in a distributed join on (file, sample); what reaches the
 flooding of one pair of files is a row for each pair of fields that went and came,
@@ -16,6 +15,7 @@ from __future__ import annotations
 
 import json
 import re
+from collections import Counter
 from difflib import SequenceMatcher
 
 import pandas as pd
@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortloom.functions.keys import normal_key
-from cohortloom.session import cut_lineage
+from cohortloom.session import cut_lineage, ship
 
 # Types from the narrowest to the widest.
 TYPES = ["", "boolean", "integer", "decimal", "text", "list"]
@@ -93,6 +93,8 @@ def file_fields(records: DataFrame) -> DataFrame:
     canon is evidence for renames only; raw is the value as written.
     """
 
+    ship(records.sparkSession)
+
     @F.pandas_udf(_CELLS)
     def decode(payloads: pd.Series) -> pd.Series:
         return payloads.map(payload_cells)
@@ -111,16 +113,39 @@ def _words(name: str) -> list[str]:
     return [w for w in re.split(r"[^a-z0-9%]+", parts.lower()) if w]
 
 
-def flood(pairs: list[dict], concepts: dict[str, int], rounds: int = 50, tolerance: float = 1e-4) -> dict[tuple[str, str], float]:
-    """Converged match scores of (old field, new field), each between 0 and 1.
+#: The pair that matches in everything: scores are measured against it.
+_IDEAL = ("field", "", "")
+#: Words are linked from this likeness on, and pairs are correspondences from this flooded score on.
+LEAST_WORD_RATIO, LEAST_SCORE = 0.6, 0.26
+
+
+def value_evidence(p: dict) -> float:
+    """How far two fields hold the same content, whatever the coding: 0 to 1.
+
+    Equal values count by their share and number.  A recoding counts by the samples whose
+    pair is the most frequent one for either value, and by the bits of evidence
+    beyond those that a free one-to-one coding would fit anyway.
+    """
+    n, entropy = p["n_both"], p["entropy"]
+    if not n:
+        return 0.0
+    share = p["n_equal"] / n
+    equal = (0.9 + 0.1 * share) * min(1.0, share / 0.8) * (1 - 2.0 ** -max(n, n * entropy)) * (1.0 if share >= 0.8 else 0.5)
+    bits = n * entropy - p["n_pairs"] * max(1.0, entropy)
+    return max(equal, (p["n_mutual"] / n) ** 2 * (1 - 2.0 ** (-max(bits, 0.0) / 3)))
+
+
+def flood(pairs: list[dict], concepts: dict[str, int], rounds: int = 100, tolerance: float = 1e-4) -> dict[tuple[str, str], float]:
+    """Converged match scores of (old field, new field), as a share of what an ideal pair gets.
 
     ``pairs`` holds, for every field that went and every one that came, their types
-    and the agreement of their values (0 to 1).  The pairwise connectivity graph
-    links a pair of fields with the pairs of their words, types, parents and
-    concepts that carry the same edge label; scores flow both ways along its edges,
-    weighted by the inverse of a node's number of edges with that label.
+    and the counts of their common values.  The pairwise connectivity graph links a pair
+    of fields with the pairs of their words, types, parents and concepts, and with the
+    evidence of their values; scores flow both ways along its edges, weighted by
+    the inverse of a node's number of edges with that label.  So fields of renamed
+    parents support each other, and a type or word that many pairs share tells little.
     """
-    start: dict[tuple, float] = {}
+    start: dict[tuple, float] = {_IDEAL: 1.0}
     edges: dict[tuple, list[tuple]] = {}
 
     def link(node: tuple, label: str, other: tuple, sim: float) -> None:
@@ -128,12 +153,18 @@ def flood(pairs: list[dict], concepts: dict[str, int], rounds: int = 50, toleran
         edges.setdefault(node, []).append((label, other))
         edges.setdefault(other, []).append((label, node))
 
+    for label in ("values", "word", "type", "concept"):
+        link(_IDEAL, label, (label, "", ""), 1.0)
     for p in pairs:
         node = ("field", p["old"], p["new"])
-        start[node] = p["agreement"]
-        for a in _words(p["old"]):
-            for b in _words(p["new"]):
-                link(node, "word", ("word", a, b), SequenceMatcher(None, a, b).ratio() if a != b else 1.0)
+        start[node] = value_evidence(p)
+        link(node, "values", ("values", p["old"], p["new"]), start[node])
+        olds, news = _words(p["old"]), _words(p["new"])
+        for a in olds:
+            for b in news:
+                ratio = SequenceMatcher(None, a, b).ratio() if a != b else 1.0
+                if ratio >= LEAST_WORD_RATIO:
+                    link(node, "word", ("word", a, b), ratio / max(len(olds), len(news)))
         link(node, "type", ("type", p["old_kind"], p["new_kind"]), 1.0 if p["old_kind"] == p["new_kind"] else 0.5)
         a, b = p["old"].rpartition(".")[0], p["new"].rpartition(".")[0]
         if a or b:
@@ -141,47 +172,29 @@ def flood(pairs: list[dict], concepts: dict[str, int], rounds: int = 50, toleran
         known = [concepts.get(p["old"].lower()), concepts.get(p["new"].lower())]
         if None not in known:
             link(node, "concept", ("concept", *known), 1.0 if known[0] == known[1] else 0.0)
-    weight = {n: {label: 1.0 / sum(x == label for x, _ in out) for label, _ in out} for n, out in edges.items()}
+    weight = {n: {label: 1.0 / k for label, k in Counter(x for x, _ in out).items()} for n, out in edges.items()}
     score = dict(start)
     for _ in range(rounds):
         flow = {n: start[n] + score[n] + sum(weight[m][label] * (start[m] + score[m]) for label, m in edges.get(n, ())) for n in start}
-        top = max(flow.values(), default=0.0) or 1.0
+        top = max(flow.values())
         after = {n: v / top for n, v in flow.items()}
-        moved = max((abs(after[n] - score[n]) for n in after), default=0.0)
+        moved = max(abs(after[n] - score[n]) for n in after)
         score = after
         if moved < tolerance:
             break
-    return {(n[1], n[2]): v for n, v in score.items() if n[0] == "field"}
+    return {(n[1], n[2]): v / score[_IDEAL] for n, v in score.items() if n[0] == "field" and n != _IDEAL}
 
 
-def _agreement(p: dict) -> float:
-    """How far two fields hold the same content, whatever the coding: 0 to 1.
+def match_fields(pairs: list[dict], concepts: dict[str, int]) -> list[tuple[str, str]]:
+    """The one-to-one correspondences of the fields that went and came between two files.
 
-    Equal values count as they are; a one-to-one recoding counts by how unlikely
-    it is that so many samples fit it by chance.
+    The flooded scores choose: the best pair first, then the best of the fields left, as far
+    as the score reaches ``LEAST_SCORE``.  An exact check of the values follows.
     """
-    if not p["n_both"]:
-        return 0.0
-    equal = p["n_equal"] / p["n_both"]
-    recoded = 0.0
-    if p["n_pairs"] > 1:
-        # Of the samples, those whose pair is the most frequent for either value.
-        recoded = p["n_mutual"] / p["n_both"]
-    return max(equal, recoded)
-
-
-def _surprise(p: dict) -> float:
-    """Bits of evidence: samples beyond those that a free one-to-one coding would fit anyway."""
-    return p["n_both"] * p["entropy"] - (0.0 if p["n_equal"] >= 0.9 * p["n_both"] else p["n_pairs"] * max(1.0, p["entropy"]))
-
-
-def match_fields(pairs: list[dict], concepts: dict[str, int]) -> list[tuple[str, str]]:
-    """The one-to-one correspondences of the fields that went and came between two files."""
-    rated = [p | {"agreement": _agreement(p)} for p in pairs]
-    scores = flood(rated, concepts)
+    scores = flood(pairs, concepts) if pairs else {}
     chosen, olds, news = [], set(), set()
-    for p in sorted(rated, key=lambda p: (-p["agreement"], -scores[(p["old"], p["new"])], p["old"], p["new"])):
-        if p["old"] in olds or p["new"] in news or not _same_content(p, scores[(p["old"], p["new"])], concepts):
+    for p in sorted(pairs, key=lambda p: (-scores[(p["old"], p["new"])], p["old"], p["new"])):
+        if p["old"] in olds or p["new"] in news or scores[(p["old"], p["new"])] < LEAST_SCORE or not _same_content(p):
             continue
         chosen.append((p["old"], p["new"]))
         olds.add(p["old"])
@@ -189,22 +202,9 @@ def match_fields(pairs: list[dict], concepts: dict[str, int]) -> list[tuple[str,
     return chosen
 
 
-def _related(old: str, new: str, concepts: dict[str, int]) -> bool:
-    """Whether two names are known as one concept, or differ in case and signs only."""
-    a, b = concepts.get(old.lower()), concepts.get(new.lower())
-    return a is not None and a == b or "".join(_words(old.lower())) == "".join(_words(new.lower()))
-
-
-def _same_content(p: dict, score: float, concepts: dict[str, int]) -> bool:
-    """Enough agreement: equal values for most samples, or a recoding that chance hardly makes.
-
-    Related names, or a flooded score near the top, need less evidence for a recoding.
-    """
-    equal = p["n_equal"] / p["n_both"] if p["n_both"] else 0.0
-    related = _related(p["old"], p["new"], concepts)
-    if equal >= 0.8:
-        return related or p["n_both"] >= 3 or p["n_both"] * p["entropy"] >= 2
-    return p["agreement"] >= 0.9 and _surprise(p) > (0.0 if related else 6.0 if score > 0.5 else 9.0)
+def _same_content(p: dict) -> bool:
+    """Equal values for four samples in five, or a one-to-one recoding of nine in ten; without a common sample none."""
+    return p["n_both"] > 0 and (p["n_equal"] >= 0.8 * p["n_both"] or p["n_mutual"] >= 0.9 * p["n_both"])
 
 
 # --- distributed part ----------------------------------------------------------------------------------------------
@@ -232,7 +232,7 @@ def field_evidence(fields: DataFrame) -> tuple[DataFrame, DataFrame]:
     gone = statuses.where("status = 'gone'").join(both, "file_id").select("file_id", F.col("field").alias("old"), "old_kind")
     came = statuses.where("status = 'new'").join(both, "file_id").select("file_id", F.col("field").alias("new"), "new_kind")
     # Of the fields that went and came only; one value for each sample, also where a file came twice.
-    known = fields.where("canon is not null and gsm_key is not null").select("file_id", "field", "gsm_key", "canon")
+    known = fields.where("canon is not null and gsm_key is not null").select("file_id", "field", "gsm_key", F.xxhash64("canon").alias("canon"))
     value = F.min("canon").alias("canon")
     of_prev = gone.join(pairs, "file_id").select("file_id", "prev_file", F.col("old").alias("field"))
     was = known.withColumnRenamed("file_id", "prev_file").join(of_prev, ["prev_file", "field"]).groupBy("file_id", "field", "gsm_key").agg(value)

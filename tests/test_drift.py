@@ -3,6 +3,7 @@ from datetime import datetime
 
 import pytest
 
+from cohortloom.operators import drift
 from cohortloom.operators.drift import _canon, flood, match_fields, payload_cells, schema_changes
 from cohortloom.operators.drift_table import last_names, unified_samples
 
@@ -76,12 +77,39 @@ def test_nulls_repeats_and_broken_payloads(spark, clusters):
     assert schema_changes(frame(spark, files).limit(0), clusters).collect() == []
 
 
+def pair(old, new, both=0, equal=0, pairs=0, mutual=0, entropy=0.0, kinds=(4, 4)):
+    return {"old": old, "new": new, "old_kind": kinds[0], "new_kind": kinds[1], "n_both": both, "n_equal": equal, "n_pairs": pairs, "n_mutual": mutual, "entropy": entropy}
+
+
 def test_flooding_converges_and_prefers_agreement():
-    pair = lambda a, b, s: {"old": a, "new": b, "old_kind": 2, "new_kind": 2, "agreement": s}
-    scores = flood([pair("age_yrs", "age", 0.9), pair("age_yrs", "wbc", 0.1), pair("leuk", "wbc", 0.9), pair("leuk", "age", 0.1)], {})
+    good, bad = dict(both=9, equal=9, pairs=5, mutual=9, entropy=2.0), dict(both=9, equal=1, pairs=9, mutual=3, entropy=2.0)
+    pairs = [pair("age_yrs", "age", **good), pair("age_yrs", "wbc", **bad), pair("leuk", "wbc", **good), pair("leuk", "age", **bad)]
+    scores = flood(pairs, {})
     assert scores[("age_yrs", "age")] > scores[("age_yrs", "wbc")] and scores[("leuk", "wbc")] > scores[("leuk", "age")]
-    assert all(0 <= v <= 1 for v in scores.values())
-    assert match_fields([], {}) == []
+    assert all(v >= 0 for v in scores.values()) and match_fields([], {}) == []
+    assert set(match_fields(pairs, {})) == {("age_yrs", "age"), ("leuk", "wbc")}
+
+
+TWINS = [pair(a, b, 8, 8, 4, 8, 2.0) for a in ("a_start", "b_stop") for b in ("start", "stop")]
+RETYPED = [pair("x", "n", 8, 8, 2, 8, 1.0, (2, 2)), pair("x", "m", 8, 8, 2, 8, 1.0, (2, 4)), pair("y", "n", 8, 8, 2, 8, 1.0, (4, 2)), pair("y", "m", 8, 8, 2, 8, 1.0, (4, 4))]
+NESTED = [pair("p.a", "q.k", 9, 9, 9, 9, 3.2), pair("p.a", "r.z", 9, 0, 9, 0, 3.2)] + [pair("p.b", n, 2, 2, 2, 2, 1.0) for n in ("r.l", "q.m")]
+
+
+def test_names_types_and_nesting_decide_between_like_values():
+    assert set(match_fields(TWINS, {})) == {("a_start", "start"), ("b_stop", "stop")}
+    assert set(match_fields(RETYPED, {})) == {("x", "n"), ("y", "m")}
+    assert ("p.b", "q.m") in match_fields(NESTED, {})
+    known = {"sex": 1, "gender": 1}
+    constant = [pair("sex", "gender", 5, 0, 1, 5, 0.0), pair("sex", "smoker", 5, 0, 1, 5, 0.0)]
+    assert match_fields(constant, known) == [("sex", "gender")] and match_fields(constant[1:], known) == []
+
+
+@pytest.mark.parametrize("level", [0.0, 1.0])
+def test_without_flooding_other_fields_correspond(monkeypatch, level):
+    monkeypatch.setattr(drift, "flood", lambda pairs, concepts: {(p["old"], p["new"]): level for p in pairs})
+    assert {a for a, _ in match_fields(TWINS[::-1], {})} != {"a_start", "b_stop"} or level
+    assert ("p.b", "q.m") not in match_fields([*NESTED[:2], pair("p.b", "a.l", 2, 2, 2, 2, 1.0), NESTED[3]], {})
+    assert match_fields([pair("sex", "smoker", 5, 0, 1, 5, 0.0)], {}) == ([("sex", "smoker")] if level else [])
 
 
 def test_one_table(spark, clusters):
