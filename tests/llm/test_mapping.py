@@ -34,6 +34,15 @@ def test_automaton_equals_brute_force(reference):
             assert r.within(text, k) == {f: _edits(f, text) for f in r.forms if _edits(f, text) <= k}
 
 
+def test_long_values(reference):
+    """A value of any length is searched; the work grows with its words and not their square."""
+    r = reference["diagnosis"]
+    remark = "; see report of the primary sample, stage IIIB, grade 2, biopsy proven, dose 100 mg daily"
+    assert r.match("renal small-cell carcinoma" + remark) == r.match("renal small-cell carcinoma" + remark * 3) == 1
+    assert r.match("Dx: " + "confirmed " * 3000 + "gastric sq. carc. " + "stage IIIB " * 3000) == 4
+    assert r.match("renal lymphoma and hepatic lymphoma " * 500) == 0 and r.match("y" * 200_000) == 0
+
+
 def test_distances():
     assert [_edits(*p) for p in (("ab", "ba"), ("abc", "ac"), ("", "abc"), ("kitten", "sitting"))] == [1, 1, 3, 3]
     assert [allowed_edits(n) for n in (3, 5, 8, 12, 30)] == [0, 1, 2, 3, 4]
