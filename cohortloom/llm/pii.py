@@ -37,14 +37,14 @@ _DOMAIN = regex.compile(rf"[ ]?[\p{{L}}\d\-]*+(?:(?:{_DOT}|[ ]dot[ ])[\p{{L}}\d\
 # --- identity numbers ----------------------------------------------------------------------------------------------
 # Labels before a person's number.
 _ID_LABELS = (
-    r"SSN|social security(?: no\.?| number)?|soc\. sec\.(?: no\.?)?|NHS (?:no\.?|number)|(?:national|patient|hospital|insurance|passport|medical record|person(?:al)?) ?(?:ID|no\.|nr\.?|number)|(?:Hosp\.?|chart|hospital|file) (?:no\.?|number)|MRN|\bID"
+    r"SSN|passport|Reisepass|pasaporte|social security(?: no\.?| number)?|soc\. sec\.(?: no\.?)?|NHS (?:no\.?|number)|(?:national|patient|hospital|insurance|passport|medical record|person(?:al)?) ?(?:ID|no\.|nr\.?|number)|(?:Hosp\.?|chart|hospital|file) (?:no\.?|number)|MRN|\bID"
     r"|Versichertennummer|Versicherten-?Nr\.?|Patienten-?(?:ID|nummer|Nr\.?)|Personalausweis(?:nummer|-?Nr\.?)?|Ausweis(?:nummer|-?Nr\.?)|Reisepass(?:nummer|-?Nr\.?)?|Sozialversicherungsnummer|Fallnummer"
     r"|passeport|n[°º] de (?:sécurité sociale|passeport|patient|dossier)|numéro de (?:sécurité sociale|passeport|patient)|(?:carte d'identité|CNI) n[°º]"
     r"|DNI|NIE|NIF|pasaporte|historia clínica|n[úu]mero de (?:paciente|seguro|pasaporte)|NHC"
     r"|身份证号码?|护照号码?|病历号码?|住院号码?|医保号码?|社保号码?|患者编号"
 )
 _ID_BODY = r"(?:[A-Z]{1,3}[ /\-]?)?\d\d*(?:[A-Z]{1,3}\d+)?(?:[ /\-]\d+(?:[A-Z]{1,2}\d+)?)*(?:[ \-]?[A-Z](?![\p{Latin}\d]))?"
-ID_AFTER_LABEL = regex.compile(rf"(?<![\p{{Latin}}\d])(?:{_ID_LABELS})(?:[ ]?(?:no\.?|nr\.?|number|n[°º]))?[ ]?[:：=#]?[ ]{{0,2}}(?P<id>{_ID_BODY})", regex.IGNORECASE)
+ID_AFTER_LABEL = regex.compile(rf"(?<![\p{{Latin}}\d])(?:{_ID_LABELS})(?:[ ]?(?:no\.?|nr\.?|number|n[°º]))?(?:[ ](?:is|was|ist|lautet|est|es)(?=[ ]))?[ ]?[:：=#]?[ ]{{0,2}}(?P<id>{_ID_BODY})", regex.IGNORECASE)
 ID_BEFORE_LABEL = regex.compile(rf"(?<![\p{{Latin}}\d./\-])(?P<id>{_ID_BODY})(?=[ ]\((?:insurance|passport|patient|NHS|national|social security|SSN)\b)")
 _ID_CASE = regex.compile(_ID_BODY)
 _LABEL_BEHIND = regex.compile(r"[ ]\((?:insurance|passport|patient|NHS|national|social security|SSN)\b")
@@ -82,17 +82,21 @@ ADDRESSES = [
 ]
 
 # --- names ---------------------------------------------------------------------------------------------------------
-# Given names that are common in the countries of the five languages and their neighbours.
-GIVEN_NAMES = frozenset(
-    "adam adrian ahmed aisha alan alba alejandro alice amara amelie amina amir ana anders andrea andreas anita anna anne antoine april arthur astrid ayse beatriz ben bjorn boris brigitte bruno camille carla carlos"
-    " carmen charlotte chen chidi chloe christian claire clara claude clemens dalia daniel david diana diego dilara dmitri elena elif elisa ella emil emilia emily emma eric erik esther eva farid fatima felix"
-    " fiona florian francois frida gabriel george giulia gonzalo grace greta guillaume hana hanna hannah hans hassan heidi helen helena henrik henry hugo ibrahim imran ines ingrid irina isabel ivan jack jakob"
-    " james jan jana javier jean joana joao johan john jonas jorge jose joseph juan julia julie karim karin karl katarina katja kenji klaus lars laura lea leila lena leo liam lina linda lisa louis lucas lucia"
-    " lucja luis luisa lukas maja manuel marc marco maria marie mario mark markus marta martin mateo matteo max maya mei mia michael miguel mohamed monika nadia naomi natalia nia nicolas nikolai nina noah nora"
-    " olga oliver olivia omar oskar otto pablo paul paula pedro peter petra philipp pierre priya quentin rafael raj ralf rania renee robert rosa rose ruth samir samuel sandra sara sarah sebastian sergio simon"
-    " sofia sofie sophie stefan stella susan susanne sven tamsin tariq teresa theo thomas tobias tom tomas ulrich ursula valentina vera victor viktor walter wanda wei will william xavier xenia yara yasmin yuki"
-    " yusuf zara zeno zoe zofia".split()
+# Given names that are common in the countries of the five languages and their neighbours, of women, of men, and of both.
+WOMENS_NAMES = frozenset(
+    "agnes aisha alba alice amara amelie amina ana anita anna anne april astrid ayse beatriz bianca brigitte camille carla carmen catherine charlotte chloe claire clara dalia diana dilara dorothea edith eleanor elena elif elisa elizabeth ella"
+    " emilia emily emma esther eva fatima fiona frida giulia grace greta hana hanna hannah heidi helen helena ines ingrid irina isabel jana jennifer jessica joana josephine julia julie karin katarina katja katherine laura lea leila lena lina linda lisa lucia"
+    " lucja luisa maja margaret maria marie marta maya mei mia michelle monika nadia naomi natalia nia nina nora ngozi olga olivia patricia paula petra priya rania renee rosa rose ruth sandra sara sarah shreya siobhan sofia sofie sophie stella"
+    " susan susanne svetlana tamsin teresa ursula valentina vera victoria wanda xenia yara yasmin yuki zara zoe zofia".split()
 )
+MENS_NAMES = frozenset(
+    "abdullah adam adrian ahmed alan alejandro amir anders andreas antoine arthur bartholomew ben bjorn boris bruno carlos chidi christian christopher clemens daniel david diego dmitri emil eric erik farid felix florian francois gabriel george giovanni gonzalo guillaume"
+    " hans hassan henrik henry hiroshi hugo ibrahim imran ivan jack jakob james jan javier johan john jonas jorge jose joseph juan jurgen karim karl kenji klaus kwame lars leo liam louis lucas luis lukas manuel marc marco mario mark markus martin mateo"
+    " matteo matthew max michael miguel mohamed mohammed nicolas nigel nikolai noah oliver omar oskar otto pablo paul pedro peter philipp pierre rafael raj rajesh ralf richard robert samir samuel sebastian sergio simon stefan sven tariq theo thomas tobias"
+    " tom tomas ulrich victor viktor vladimir walter wilhelm will william wolfgang xavier yusuf zeno".split()
+)
+EITHER_NAMES = frozenset("andrea chen claude jean joao quentin wei".split())
+GIVEN_NAMES = WOMENS_NAMES | MENS_NAMES | EITHER_NAMES
 _PART = r"(?:(?i:van der|van den|van de|von der|de la|de los|van|von|del|der|den|de|di|da|dos|du|al|el|bin|ibn|ter|la|le))"
 _SP = r"[ \n]{1,3}"
 _WORD, _INITIAL = r"\p{L}(?:[\p{L}\p{M}\-]|['’](?!s\b))*\p{L}", r"\p{Lu}\."
@@ -126,8 +130,42 @@ KNOWN = regex.compile(
 )
 # Words after a surname that make it a method's or an institution's.
 _THINGS = regex.compile(r"(?:['’]s)?[ ](?:score|grade|buffer|syndrome|stain|plot|test|assay|index|method|disease|medium|curve|Institute|Hospital(?![ ](?:number|no\.))|Clinic|Centre|Center|University|Biobank|Tissue Bank|Street|Road|Lane|Ave|St)\b")
+# --- names by structure --------------------------------------------------------------------------------------------
+# A capitalised sequence that no list knows is a name if what stands around it says so: the weights of the cue before it, the
+# cue behind it and the form of its last word are summed.
+# What is done to persons, in five languages.
+_STRONG_CUES = (
+    "write to|wrote to|written to|reach|reached|contact|contacted|call|called|phone|phoned|ask|asked|tell|told|thank|thanked|inform|informed|notify|notified|email|emailed|meet|met|interviewed|spoke with|speak to|speak with|talked to|my name is|name is|named|i am|i'm"
+    "|signed by|collected by|performed by|prepared by|written by|sent by|handled by|approved by|on behalf of|signature of|care of|son of|daughter of|wife of|husband of|mother of|father of|patient"
+    "|schreiben sie an|wenden sie sich an|fragen sie|rufen sie|ich heiße|mein name ist|appelez|contactez|écrivez à|demandez à|je m'appelle|llame a|escriba a|pregunte a|contacte a|me llamo"
+).split("|")
+_WEAK_CUES = "by|with|from|to|via|von|mit|an|bei|par|avec|de|por|con".split("|")
+# What persons do or have, behind their name.
+_BEHIND_CUE = regex.compile(
+    r"(?:['’]s[ ](?:mother|father|wife|husband|daughter|son|sister|brother|doctor|record|chart|file|phone|number|e?-?mail|address|consent|appointment)\b|,?[ ](?:said|says|told|wrote|writes|called|phoned|signed|lives|lived|agreed|asked|reported|visited|explained|confirmed|mentioned|replied|complained|yesterday|today|tomorrow|who|whose|hat|sagte|wohnt|schrieb|a dit|habite|dijo|vive|aged|born|\(\d{1,3}[ ]?(?:y|yo|years)\b))"
+)
+# Endings and beginnings that surnames have.
+_SURNAME_FORM = regex.compile(r"(?:O['’]\p{Lu}|Mc\p{Lu}|Mac\p{Lu})\p{L}+|\p{Lu}\p{L}+(?:son|sen|sson|man|mann|berg|stein|feld|ski|sky|ska|ov|ova|ev|eva|enko|ez|es|ini|elli|etti|oglu|yan|ian|wala|kumar|quist|qvist|strom|ström|bauer|meyer|maier|müller|schmidt)")
+# Capitalised words that names of things, places and institutions have.
+_THING_WORDS = frozenset(
+    "university hospital institute centre center clinic biobank bank department laboratory lab labs school college faculty foundation society agency committee board office ministry council company inc ltd gmbh corp corporation street road avenue lane square city county"
+    " state states north south east west new genome gene expression array chip sequencing human mouse rat total rna dna protein cell cells tissue cancer tumor tumour breast lung kidney liver blood bone stage grade sample samples study trial cohort group arm phase protocol"
+    " kit buffer medium serum score index method test assay plot curve table figure data file series platform support service services team help desk core facility unit ward room building floor monday tuesday wednesday thursday friday saturday sunday january february march"
+    " april may june july august september october november december english german french spanish chinese american european national international general public health medical clinical research science sciences technology biology medicine nature journal press"
+    " the this that these those all any our your his her their its we you he she it they please dear hello kind best regards thanks thank attached see note no yes and or but if when while after before during under over about into onto".split()
+)
+_THING_ENDINGS = ("ics", "logy", "tion", "ment", "ness", "ware")
+STRONG, WEAK, BEHIND, SURNAME_FORM, LEAST = 2.0, 1.0, 2.0, 1.0, 2.0
+STRUCTURED = regex.compile(rf"[ ]{{1,2}}(?P<name>(?P<first>{_TITLE}|{_INITIAL})(?:{_SP}{_INITIAL}){{0,2}}(?:{_SP}{_TITLE}){{0,1}}?(?:{_SP}{_PART}){{0,2}}{_SP}(?P<last>{_TITLE}))(?![\p{{L}}\d@_\-])")
+_PERSON_DOES = regex.compile(rf"(?<![\p{{L}}\d@._\-])(?P<name>(?P<first>{_TITLE})(?:{_SP}{_INITIAL}){{0,2}}(?:{_SP}{_PART}){{0,2}}{_SP}(?P<last>{_TITLE}))(?={_BEHIND_CUE.pattern})")
+# Common Han surnames, and what stands before and behind a Han name.
+_HAN_SURNAMES = "王李张刘陈杨黄赵吴周徐孙马朱胡郭何高林罗郑梁谢宋唐许韩冯邓曹彭曾萧田董袁潘于蒋蔡余杜叶程苏魏吕丁任沈姚卢姜崔钟谭陆汪范金石廖贾夏韦付方白邹孟熊秦邱江尹薛闫段雷侯龙史陶黎贺顾毛郝龚邵万钱严武戴莫孔向汤"
+HAN_NAME = regex.compile(
+    rf"(?:(?<=患者|病人|联系人|请联系|联系|姓名[:：]|姓名|医生|护士|主任|教授|致电|通知|请找|我叫|名叫|由|收件人[:：]|寄给|感谢)(?P<name>[{_HAN_SURNAMES}]\p{{Han}}{{1,2}}?)(?=先生|女士|医生|教授|主任|护士|的|于|在|已|将|今|昨|[，。、；：！？,.;:!?\s（()）]|$)"
+    rf"|(?<!\p{{Han}})(?P<name2>[{_HAN_SURNAMES}]\p{{Han}}{{1,2}}?)(?=先生|女士|医生|大夫|教授|主任|护士|老师))"
+)
 # Words that look like part of a name and aren't.
-_NO_NAME = frozenset("the a an this that these those all any team colleagues colleague sir madam data curator support desk list group patient patients sample samples slides files file room note no row of for with and in on at to by is was were are phone tel email mail".split())
+_NO_NAME = frozenset("nobody somebody anybody everybody someone anyone everyone else others the a an this that these those all any team colleagues colleague sir madam data curator support desk list group patient patients sample samples slides files file room note no row of for with and in on at to by is was were are phone tel email mail".split())
 
 
 def fold(word: str) -> str:
@@ -155,7 +193,7 @@ _GERMAN_STREETS, _FRENCH_STREETS, _SPANISH_STREETS = (w.split() for w in ("str g
 def _starts() -> ahocorasick.Automaton:
     """One automaton over all starts; a word may be of several families."""
     families: dict[str, set[str]] = {}
-    for family, words in (("label", _LABEL_STARTS), ("lead", _LEAD_STARTS), ("given", GIVEN_NAMES)):
+    for family, words in (("label", _LABEL_STARTS), ("lead", _LEAD_STARTS), ("given", GIVEN_NAMES), ("strong", _STRONG_CUES), ("weak", _WEAK_CUES)):
         for w in words:
             families.setdefault(w, set()).add(family)
     out = ahocorasick.Automaton()
@@ -167,7 +205,7 @@ def _starts() -> ahocorasick.Automaton:
 
 def _places(plain: str, low: str) -> dict[str, list[int]]:
     """Where a label, a lead or a given name may begin: at a word's start, in order of the text."""
-    out: dict[str, set[int]] = {"label": set(), "lead": set(), "given": set()}
+    out: dict[str, set[int]] = {"label": set(), "lead": set(), "given": set(), "strong": set(), "weak": set()}
     for last, (length, families) in _starts().iter(low):
         start = last - length + 1
         before = plain[start - 1] if start else " "
@@ -179,7 +217,12 @@ def _places(plain: str, low: str) -> dict[str, list[int]]:
         elif before.isalpha() and "label" not in families:
             continue
         for f in families:
-            out[f].add(start)
+            # A cue counts by where it ends: a blank and a capital follow.
+            if f in ("strong", "weak"):
+                if plain[last + 1 : last + 2] == " " and (plain[last + 2 : last + 3].isupper() or plain[last + 2 : last + 3] == " "):
+                    out[f].add(last + 1)
+            else:
+                out[f].add(start)
     return {f: sorted(v) for f, v in out.items()}
 
 
@@ -229,7 +272,41 @@ def _good_name(name: str) -> bool:
     if len(words) < 2 or any(w.lower() in _NO_NAME for w in words if len(w) > 1 and not regex.fullmatch(_PART, w)):
         return False
     full = [w for w in words if not w.endswith(".") and not regex.fullmatch(_PART, w)]
-    return bool(full) and max(len(w) for w in full) >= 3 and len(name) <= 60
+    return bool(full) and max(len(w) for w in full) >= 3
+
+
+# Signs one of which stands beside every Han name that is found.
+_HAN_SIGNS = ("患者", "病人", "联系", "姓名", "医生", "护士", "主任", "教授", "致电", "通知", "请找", "叫", "由", "收件人", "寄给", "感谢", "先生", "女士", "大夫", "老师")
+
+
+def _structured(plain: str, low: str, places: dict[str, list[int]]) -> list[tuple[int, int]]:
+    """Capitalised sequences that their surroundings tell to be persons, in order of the text."""
+    weights: dict[tuple[int, int], float] = {}
+    shown: dict[tuple[int, int], tuple[str, str]] = {}
+    for family, weight in (("strong", STRONG), ("weak", WEAK)):
+        for at in places[family]:
+            m = STRUCTURED.match(plain, at)
+            if m:
+                span = m.span("name")
+                weights[span] = max(weights.get(span, 0.0), weight)
+                shown[span] = (m["first"], m["last"])
+    if any(w in low for w in _BEHIND_WORDS):
+        for m in _PERSON_DOES.finditer(plain):
+            shown.setdefault(m.span("name"), (m["first"], m["last"]))
+            weights.setdefault(m.span("name"), 0.0)
+    out = []
+    for span, (first, last) in shown.items():
+        words = [w.lower() for w in regex.findall(r"\p{L}[\p{L}\p{M}'’\-]*", plain[slice(*span)])]
+        if any(w in _THING_WORDS or w.endswith(_THING_ENDINGS) for w in words) or not regex.search(r"\p{Ll}", last):
+            continue
+        score = weights[span] + (BEHIND if _BEHIND_CUE.match(plain, span[1]) else 0.0) + (SURNAME_FORM if _SURNAME_FORM.fullmatch(last) else 0.0)
+        if score >= LEAST:
+            out.append(span)
+    return sorted(out)
+
+
+# Words one of which stands in every cue behind a name.
+_BEHIND_WORDS = "'s |’s | said| says| told| wrote| writes| called| phoned| signed| live| agreed| asked| reported| visited| explained| confirmed| mentioned| replied| complained| yesterday| today| tomorrow| who| hat | sagte| wohnt| schrieb| a dit| habite| dijo| vive| aged| born| (".split("|")
 
 
 def find_entities(text: str | None) -> list[tuple[str, int, int]]:
@@ -305,6 +382,13 @@ def find_entities(text: str | None) -> list[tuple[str, int, int]]:
         given = m["given"] or m["given2"]
         if fold(given) in GIVEN_NAMES:
             take_name(*m.span("name"))
+    for m in HAN_NAME.finditer(plain) if any(w in plain for w in _HAN_SIGNS) else ():
+        span = m.span("name") if m["name"] else m.span("name2")
+        if spans.free(*span):
+            spans.take("name", *span)
+            names.add(plain[slice(*span)])
+    for start, end in _structured(plain, low, places):
+        take_name(start, end)
     for kind, _, end in list(spans.found):
         if kind == "name" and (m := JOINED.match(plain, end)):
             take_name(*m.span("name"))
