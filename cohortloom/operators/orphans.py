@@ -1,12 +1,11 @@
 """References to records that do not exist, from signed counts of change deltas.
 
-Every delivery of a target record adds one to the existence count of its key and
-every withdrawal takes one away; every referring row adds one to the reference
-count of its key.  Deltas of one key and instant are summed before anything is
-ordered, and the running existence count is built in two steps (by month, then
-inside the month) so that no window holds more than one month of one key.  Only
-the instants at which a key comes into or goes out of force are kept; a
-reference is an orphan where the existence count of its key is zero.
+All changes are one stream: a delivery of a target record adds one to the existence count
+of its key, a withdrawal takes one away, a referring row adds one to its reference count.
+The running existence count of a key is built in two steps (by day, then inside the
+day), so that no window holds more than one day of one key; a reference with an
+existence count of zero at its own time is an orphan.  Keys without references leave the
+stream before the counts are joined.
 """
 
 from __future__ import annotations
@@ -41,25 +40,54 @@ def existence_deltas(target: DataFrame, key: str, added: str = "loaded_at", remo
     )
 
 
-def in_force_switches(deltas: DataFrame) -> DataFrame:
-    """(ref_key, first_us, switches): when each key came into force (+) and went out of it, in order.
+def change_stream(df: DataFrame, references: dict[str, str] | None = None, targets: dict[str, str] | None = None, row_id: str = "row_id", at: str = "loaded_at", removed: str = "removed_at") -> DataFrame:
+    """(src_table, ref_key, at_us, alive, refs, start_us, row_id, load_month): the changes that the rows of a table make, in one scan.
 
-    ``switches`` alternates between the instant the existence count leaves zero and
-    the instant it returns, so its size follows the times a key was withdrawn and
-    came back, not its rows.
+    ``references`` names the reports its rows refer in and the key of each, ``targets``
+    the reports its rows exist for.  A target without an adding time exists from the
+    beginning; one removed at or before its adding time is never in force, yet
+    its key counts as known (alive 0).
     """
-    month = F.when(F.col("at_us") == _BEGIN, F.lit(-1)).otherwise(F.floor(F.col("at_us") / F.lit(30 * 86_400_000_000)))
-    dated = deltas.withColumn("month", month.cast("long"))
-    by_month = dated.groupBy("ref_key", "month").agg(F.sum("delta").alias("net"))
-    earlier = Window.partitionBy("ref_key").orderBy("month").rowsBetween(Window.unboundedPreceding, -1)
-    carried = by_month.select("ref_key", "month", F.coalesce(F.sum("net").over(earlier), F.lit(0)).alias("carry"))
-    within = Window.partitionBy("ref_key", "month").orderBy("at_us").rowsBetween(Window.unboundedPreceding, 0)
-    counts = dated.withColumn("inside", F.sum("delta").over(within)).join(carried, ["ref_key", "month"])
-    counts = counts.withColumn("after", F.col("carry") + F.col("inside")).withColumn("before", F.col("after") - F.col("delta"))
-    return counts.groupBy("ref_key").agg(
-        F.min("first_us").alias("first_us"),
-        F.sort_array(F.collect_list(F.when((F.col("before") > 0) != (F.col("after") > 0), F.col("at_us")))).alias("switches"),
+    when, start = wall_micros(F.col(at)), F.coalesce(wall_micros(F.col(at)), F.lit(_BEGIN))
+    stop = wall_micros(F.col(removed)) if removed in df.columns else F.lit(None).cast("long")
+    void = F.coalesce(stop <= start, F.lit(False))
+    none = F.lit(None).cast("long")
+
+    def change(name: str, key: str, at_us: Column, alive: Column, refs: int, start_us: Column) -> Column:
+        return F.struct(F.lit(name).alias("src_table"), normal_key(F.col(key)).alias("ref_key"), at_us.alias("at_us"), alive.cast("long").alias("alive"), F.lit(refs).cast("long").alias("refs"), start_us.alias("start_us"))
+
+    changes = [change(name, key, when, F.lit(0), 1, none) for name, key in (references or {}).items()]
+    for name, key in (targets or {}).items():
+        changes.append(change(name, key, start, F.when(void, 0).otherwise(1), 0, start))
+        changes.append(F.when(stop.isNotNull(), change(name, key, stop, F.when(void, 0).otherwise(-1), 0, start)))
+    rows = df.select(F.col(row_id).cast("long").alias("row_id") if references else none.alias("row_id"), F.date_format(F.col(at), "yyyy-MM").alias("load_month"), F.explode(F.array_compact(F.array(*changes))).alias("c"))
+    return rows.select("c.*", "row_id", "load_month").where("ref_key is not null")
+
+
+def orphans_of(changes: DataFrame) -> DataFrame:
+    """(src_table, row_id, load_month, orphan_kind) of a stream of changes: references at whose time the existence count of their key is zero.
+
+    The stream is shuffled once by key and day; the sums by day have a row for each key and day.
+    """
+    day = F.when(F.col("at_us").isNull(), F.lit(-2)).when(F.col("at_us") == _BEGIN, F.lit(-1)).otherwise(F.floor(F.col("at_us") / F.lit(86_400_000_000)))
+    dated = changes.withColumn("day", day.cast("long")).repartition("src_table", "ref_key", "day")
+    by_day = dated.groupBy("src_table", "ref_key", "day").agg(F.sum("alive").alias("net"), F.sum("refs").alias("refs"), F.min("start_us").alias("first_us"))
+    key = Window.partitionBy("src_table", "ref_key")
+    earlier = key.orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
+    states = by_day.select(
+        "src_table", "ref_key", "day", F.col("refs").alias("day_refs"), F.coalesce(F.sum("net").over(earlier), F.lit(0)).alias("carry"), F.sum("refs").over(key).alias("n_refs"), F.min("first_us").over(key).alias("first_us")
+    ).where("n_refs > 0 and day_refs > 0")
+    # Changes of one instant count together: a removal at the reference's own time has happened, and so has a delivery.
+    within = Window.partitionBy("src_table", "ref_key", "day").orderBy("at_us").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    counted = dated.withColumn("inside", F.sum("alive").over(within)).where("refs > 0").join(states.drop("n_refs", "day_refs"), ["src_table", "ref_key", "day"])
+    kind = (
+        F.when(F.col("first_us").isNull(), "missing")
+        .when(F.col("at_us").isNull(), F.lit(None))
+        .when(F.col("carry") + F.col("inside") > 0, F.lit(None))
+        .when(F.col("first_us") > F.col("at_us"), "late")
+        .otherwise("deleted")
     )
+    return counted.select("src_table", "row_id", "load_month", kind.alias("orphan_kind")).where("orphan_kind is not null")
 
 
 def orphan_references(
@@ -71,28 +99,9 @@ def orphan_references(
     target row ever has the key; ``late``: all such rows come later; ``deleted``:
     the key was in force before).  Null keys and null marks are no references.  A row
     without a time is reported (load_month null) only if its key is missing.  Repeated
-    rows and repeated keys count each by itself.  The referring side is
-    shuffled once; a key that holds a large part of it is split by the adaptive
-    skew join, as the other side has one row a key.
+    rows and repeated keys count each by itself.  Extra columns aren't read.
     """
-    switches = in_force_switches(existence_deltas(target, target_key))
-    refs = source.select(
-        F.col(row_id).alias("row_id"), normal_key(F.col(key)).alias("ref_key"), wall_micros(F.col(at)).alias("ref_us"), F.date_format(F.col(at), "yyyy-MM").alias("load_month")
-    ).where("ref_key is not null")
-    # The number of switches up to the row's time tells the state: odd is in force.
-    count = F.size(F.filter("switches", lambda s: s <= F.col("ref_us")))
-    kind = (
-        F.when(F.col("first_us").isNull(), "missing")
-        .when(F.col("ref_us").isNull(), F.lit(None))
-        .when(count % 2 == 1, F.lit(None))
-        .when(F.col("first_us") > F.col("ref_us"), "late")
-        .otherwise("deleted")
-    )
-    return (
-        refs.join(switches, "ref_key", "left")
-        .select(F.lit(source_name).alias("src_table"), "row_id", "load_month", kind.alias("orphan_kind"))
-        .where("orphan_kind is not null")
-    )
+    return orphans_of(change_stream(source, references={source_name: key}, row_id=row_id, at=at).unionByName(change_stream(target, targets={source_name: target_key})))
 
 
 def reference_counts(source: DataFrame, key: str, target: DataFrame, target_key: str, added: str = "loaded_at", removed: str = "removed_at") -> DataFrame:

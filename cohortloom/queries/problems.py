@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from cohortloom.operators.drift import schema_changes
 from cohortloom.operators.drift_table import unified_samples
 from cohortloom.operators.heavy_keys import heavy_keys, per_key_summary
-from cohortloom.operators.orphans import orphan_references, reference_counts
+from cohortloom.operators.orphans import change_stream, orphans_of, reference_counts
 from cohortloom.operators.packed import split_packed
 from cohortloom.operators.units import numeric_column_days as column_days
 from cohortloom.operators.units import times_in_days
@@ -28,9 +28,9 @@ def p1_summary(spark: SparkSession, d: str) -> DataFrame:
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     """Rows whose reference has no target in force at their own time."""
-    annotation = load(spark, d, "annotation")
-    series = orphan_references(annotation, "annotation", "gse_id", load(spark, d, "series"), "gse_id")
-    return series.unionByName(orphan_references(load(spark, d, "sample_id_map"), "sample_id_map", "gsm_id", annotation, "gsm_id"))
+    stream = change_stream(load(spark, d, "annotation"), references={"annotation": "gse_id"}, targets={"sample_id_map": "gsm_id"})
+    stream = stream.unionByName(change_stream(load(spark, d, "series"), targets={"annotation": "gse_id"}))
+    return orphans_of(stream.unionByName(change_stream(load(spark, d, "sample_id_map"), references={"sample_id_map": "gsm_id"})))
 
 
 def p2_by_month(spark: SparkSession, d: str) -> DataFrame:

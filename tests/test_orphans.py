@@ -69,3 +69,19 @@ def test_counts_and_stream_agree(spark, tmp_path):
     assert {tuple(r) for r in state.collect()} == {("K", 1, 1), ("G", 1, 0), ("M", 2, 0)}
     assert {tuple(r) for r in orphans(state).collect()} == {("G", 1), ("M", 2)}
     assert merged(state, spark.createDataFrame([("G", -1, 0)], "ref_key string, refs long, alive long")).where("ref_key = 'G'").count() == 0
+
+
+def test_a_batch_rewrites_only_its_buckets(spark, tmp_path):
+    path, schema = str(tmp_path / "state"), "ref_key string, refs long, alive long"
+    write = batch_writer(path, 8)
+    write(spark.createDataFrame([(f"k{i}", 1, 0) for i in range(60)], schema), 0)
+    for batch in range(1, 6):
+        write(spark.createDataFrame([("k1", 1, 0), ("k2", -1 if batch == 1 else 0, 0)], schema), batch)
+    rewritten = [f.name for f in (tmp_path / "state" / "version=5").iterdir() if f.name.startswith("bucket=")]
+    assert 1 <= len(rewritten) <= 2
+    assert {f.name for f in (tmp_path / "state").iterdir() if f.name.startswith("version=")} == {"version=0", "version=4", "version=5"}
+    state = {r.ref_key: r.refs for r in latest(spark, path).collect()}
+    assert len(state) == 59 and state["k1"] == 6 and "k2" not in state and state["k3"] == 1
+    assert {r.ref_key: r.refs for r in latest(spark, path, 5).collect()}["k1"] == 5
+    write(spark.createDataFrame([], schema), 6)
+    assert latest(spark, path).count() == 59 and latest(spark, str(tmp_path / "none")).count() == 0
