@@ -6,18 +6,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortloom.operators import matrix as M
+from cohortloom.session import cut_lineage
 
 #: Units that need TPM; others are scaled by length already.
 NEEDS_TPM = ["count", "cpm"]
 
 
 def finalized(cells: DataFrame, units: DataFrame, symbols: DataFrame, lengths: DataFrame, clean: DataFrame) -> DataFrame:
-    """Final cells (cohort_id, feature_id, sample_id, value) of every cohort with a known unit (cohort_id, unit)."""
+    """Final cells (cohort_id, feature_id, sample_id, value) of every cohort with a known unit (cohort_id, unit).
+
+    ``cells`` are read twice and should be written; the cells by symbol and those scaled to a
+    million are written here, as each is read twice.
+    """
     linear = M.linear_scale(cells).drop("was_log2")
-    named = M.symbol_sums(linear, symbols).join(units.where("unit is not null"), "cohort_id")
+    named = cut_lineage(M.symbol_sums(linear, symbols).join(units.where("unit is not null"), "cohort_id"))
     counted = M.tpm(named.where(F.col("unit").isin(NEEDS_TPM)).drop("unit"), lengths)
     scaled = counted.unionByName(named.where(~F.col("unit").isin(NEEDS_TPM)).select("cohort_id", "feature_id", "sample_id", "value"))
-    million = M.per_million(M.restricted(scaled, clean))
+    million = cut_lineage(M.per_million(M.restricted(scaled, clean)))
     return M.rounded(M.log2_where_linear(million))
 
 

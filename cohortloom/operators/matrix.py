@@ -1,8 +1,10 @@
 """Algebra of long matrices: (cohort_id, feature_id, sample_id, value), one row per cell.
 
 Every whole-matrix decision of a cohort (is it in log scale, is it transposed) is one
-aggregate over its cells joined back, so a job covers all cohorts at once.  Missing
-cells are null; NaN is turned to null on the way in.
+aggregate over its cells joined back, so a job covers all cohorts at once.  That aggregate has
+a row a cohort: it is counted and broadcast, so the cells aren't shuffled for it; it reads
+them once more, so cells that are dear to compute should be written before
+(``session.cut_lineage``).  Missing cells are null; NaN is turned to null on the way in.
 """
 
 from __future__ import annotations
@@ -14,6 +16,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cohortloom.session import bounded
+
 #: Any value above it tells a matrix isn't in log scale.
 LOG2_LIMIT = 50.0
 #: Orientation is judged from so many rows on.
@@ -50,21 +54,26 @@ def symbol_sums(cells: DataFrame, symbols: DataFrame) -> DataFrame:
     return mapped.groupBy("cohort_id", F.col("symbol").alias("feature_id"), "sample_id").agg(F.coalesce(F.sum("value"), F.lit(0.0)).alias("value"))
 
 
+def _sample_sum() -> Column:
+    """The sum of a cell's sample: one shuffle by sample and no join; a sample's cells are as many as its features."""
+    return F.coalesce(F.sum("value").over(Window.partitionBy("cohort_id", "sample_id")), F.lit(0.0))
+
+
 def _sample_totals(cells: DataFrame) -> DataFrame:
     return cells.groupBy("cohort_id", "sample_id").agg(F.coalesce(F.sum("value"), F.lit(0.0)).alias("total"))
 
 
 def tpm(cells: DataFrame, lengths: DataFrame) -> DataFrame:
     """Transcripts per million by gene length (feature_id, length); genes without length are left out, empty samples are null."""
-    rate = clean_cells(cells).join(lengths.select("feature_id", "length").where("length > 0"), "feature_id").withColumn("value", F.col("value") / (F.col("length") / 1000.0)).drop("length")
-    return rate.join(_sample_totals(rate), ["cohort_id", "sample_id"]).select("cohort_id", "feature_id", "sample_id", (F.col("value") / F.nullif(F.col("total") / 1e6, F.lit(0.0))).alias("value"))
+    rate = clean_cells(cells).join(lengths.select("feature_id", "length").where("length > 0"), "feature_id").withColumn("value", F.col("value") / (F.col("length") / 1000.0))
+    total = F.nullif(_sample_sum() / 1e6, F.lit(0.0))
+    return rate.select("cohort_id", "feature_id", "sample_id", (F.col("value") / total).alias("value"))
 
 
 def per_million(cells: DataFrame) -> DataFrame:
     """Values scaled so that each sample sums to a million; samples whose sum isn't positive become null."""
-    cells = clean_cells(cells)
-    total = F.when(F.col("total") > 0, F.col("total"))
-    return cells.join(_sample_totals(cells), ["cohort_id", "sample_id"]).select("cohort_id", "feature_id", "sample_id", (F.col("value") / total * 1e6).alias("value"))
+    total = _sample_sum()
+    return clean_cells(cells).withColumn("total", total).select("cohort_id", "feature_id", "sample_id", (F.col("value") / F.when(F.col("total") > 0, F.col("total")) * 1e6).alias("value"))
 
 
 def empty_samples(cells: DataFrame) -> DataFrame:
@@ -93,7 +102,7 @@ def _scale(cells: DataFrame, limit: float) -> DataFrame:
     cells = clean_cells(cells)
     v = F.col("value")
     facts = cells.groupBy("cohort_id").agg(F.coalesce(F.max(v) > limit, F.lit(False)).alias("needs_log2"), (F.count_if(v < 0) > 0).alias("has_negative"))
-    return cells.join(facts, "cohort_id")
+    return cells.join(bounded(facts), "cohort_id")
 
 
 def log2_where_linear(cells: DataFrame, limit: float = LOG2_LIMIT, keep_negative: bool = False) -> DataFrame:
@@ -127,12 +136,14 @@ def low_feature_count(cells: DataFrame, least: int) -> DataFrame:
 
 def normalized(cells: DataFrame, limit: float = LOG2_LIMIT) -> DataFrame:
     """A final matrix: turned back where samples outnumber features, then in log scale unless it has negative values."""
-    cells = clean_cells(cells)
-    turn = cells.groupBy("cohort_id").agg(F.count_distinct("feature_id").alias("nf"), F.count_distinct("sample_id").alias("ns")).select("cohort_id", ((F.col("nf") >= ORIENTATION_ROWS) & (F.col("ns") > F.col("nf"))).alias("turned"))
-    swapped = cells.join(turn, "cohort_id").select(
-        "cohort_id", F.when(F.col("turned"), F.col("sample_id").cast("string")).otherwise(F.col("feature_id").cast("string")).alias("feature_id"), F.when(F.col("turned"), F.col("feature_id").cast("string")).otherwise(F.col("sample_id").cast("string")).alias("sample_id"), "value"
+    facts = bounded(scale_facts(cells, limit).select("cohort_id", "transposed", (F.col("needs_log2") & (F.col("n_negative") == 0)).alias("to_log2")))
+    feature, sample = F.col("feature_id").cast("string"), F.col("sample_id").cast("string")
+    return clean_cells(cells).join(facts, "cohort_id").select(
+        "cohort_id",
+        F.when(F.col("transposed"), sample).otherwise(feature).alias("feature_id"),
+        F.when(F.col("transposed"), feature).otherwise(sample).alias("sample_id"),
+        F.when(F.col("to_log2"), F.log2(F.col("value") + 1)).otherwise(F.col("value")).alias("value"),
     )
-    return log2_where_linear(swapped, limit, keep_negative=True)
 
 
 def restricted(cells: DataFrame, clean: DataFrame) -> DataFrame:
@@ -185,6 +196,27 @@ CHANNEL_PAIRS = [
 HINT_SHARE, VARIANCE_GAP = 0.9, 0.10
 
 
+def exact_medians(df: DataFrame, keys: list[str], value: str, slots: int = 1024) -> DataFrame:
+    """(keys, median) of groups of any size: values are counted by slots of equal width, and only the slots that hold the middle are ordered.
+
+    Two passes over ``df``; a slot of one group is ordered in one task, so values that crowd
+    in one slot are counted by value first.
+    """
+    counted = df.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("__v")).agg(F.count(F.lit(1)).alias("__n"))
+    bounds = counted.groupBy(*keys).agg(F.min("__v").alias("__low"), F.max("__v").alias("__high"), F.sum("__n").alias("__all"))
+    width = F.nullif(F.col("__high") - F.col("__low"), F.lit(0.0))
+    placed = counted.join(bounded(bounds), keys).withColumn("__slot", F.coalesce(F.least(F.floor((F.col("__v") - F.col("__low")) / width * slots), F.lit(slots - 1)), F.lit(0)).cast("int"))
+    sums = placed.groupBy(*keys, "__slot").agg(F.sum("__n").alias("__in"), F.max("__all").alias("__all"))
+    sums = sums.withColumn("__before", F.sum("__in").over(Window.partitionBy(*keys).orderBy("__slot")) - F.col("__in"))
+    # The ranks of the middle, from 1; they are alike where the number of values is odd.
+    first, last = F.floor((F.col("__all") + 1) / 2), F.floor(F.col("__all") / 2) + 1
+    middle = bounded(sums.where((F.col("__before") < last) & (F.col("__before") + F.col("__in") >= first)).select(*keys, "__slot", "__before"))
+    upto = F.col("__before") + F.sum("__n").over(Window.partitionBy(*keys, "__slot").orderBy("__v"))
+    ranked = placed.join(middle, [*keys, "__slot"]).withColumn("__upto", upto)
+    holds = lambda rank: F.max(F.when((F.col("__upto") >= rank) & (F.col("__upto") - F.col("__n") < rank), F.col("__v")))
+    return ranked.groupBy(*keys).agg(((holds(first) + holds(last)) / 2).alias("median"))
+
+
 def reference_channel(cells: DataFrame, hints: DataFrame | None = None) -> DataFrame:
     """(cohort_id, var1, var2, reference_channel, signal_channel, method) for cells with a ``channel``.
 
@@ -193,7 +225,9 @@ def reference_channel(cells: DataFrame, hints: DataFrame | None = None) -> DataF
     hints of samples' texts; nine in ten must agree.  Two calls that differ are ambiguous.
     """
     variance = clean_cells(cells).groupBy("cohort_id", "channel", "feature_id").agg(F.var_samp(F.log2(F.greatest(F.col("value"), F.lit(1.0)))).alias("v"))
-    by = variance.groupBy("cohort_id").agg(F.median(F.when(F.col("channel") == 1, F.col("v"))).alias("var1"), F.median(F.when(F.col("channel") == 2, F.col("v"))).alias("var2"))
+    medians = exact_medians(variance.where("v is not null"), ["cohort_id", "channel"], "v")
+    of = lambda n: F.max(F.when(F.col("channel") == n, F.col("median")))
+    by = variance.select("cohort_id").distinct().join(medians, "cohort_id", "left").groupBy("cohort_id").agg(of(1).alias("var1"), of(2).alias("var2"))
     low, high = F.least("var1", "var2"), F.greatest("var1", "var2")
     called = by.withColumn("by_variance", F.when(F.col("var1").isNotNull() & F.col("var2").isNotNull() & (high > 0) & ((high - low) / high >= VARIANCE_GAP), F.when(F.col("var1") <= F.col("var2"), 1).otherwise(2)))
     if hints is None:

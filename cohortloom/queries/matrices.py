@@ -10,7 +10,7 @@ from cohortloom.operators import identifiers as I
 from cohortloom.operators import matching as P
 from cohortloom.operators import matrix as M
 from cohortloom.operators.finalize import finalize_report, finalized
-from cohortloom.session import load
+from cohortloom.session import cut_lineage, load
 
 
 def cells(spark: SparkSession, d: str, agg=F.avg) -> DataFrame:
@@ -29,6 +29,11 @@ def cells(spark: SparkSession, d: str, agg=F.avg) -> DataFrame:
     )
 
 
+def ready(spark: SparkSession, d: str) -> DataFrame:
+    """The cells written, for operators that read them more than once."""
+    return cut_lineage(cells(spark, d))
+
+
 def brands(spark: SparkSession, d: str) -> DataFrame:
     return load(spark, d, "part").select(F.col("p_partkey").cast("string").alias("feature_id"), F.col("p_brand").alias("symbol"))
 
@@ -82,11 +87,11 @@ def integer_like(spark, d):
 
 
 def maybe_log2(spark, d):
-    return _r(M.log2_where_linear(cells(spark, d)))
+    return _r(M.log2_where_linear(ready(spark, d)))
 
 
 def to_linear(spark, d):
-    return _r(M.linear_scale(cells(spark, d)))
+    return _r(M.linear_scale(ready(spark, d)))
 
 
 def matrix_qc(spark, d):
@@ -98,7 +103,7 @@ def low_feature_count(spark, d):
 
 
 def normalize_matrix(spark, d):
-    return _r(M.normalized(cells(spark, d)))
+    return _r(M.normalized(ready(spark, d)))
 
 
 def quantile_normalize(spark, d):
@@ -132,7 +137,7 @@ def union_first_wins(spark, d):
 
 def multi_platform_expression(spark, d):
     united = M.first_map_wins(list(_maps(spark, d))).withColumn("entrez_id", F.lit(None).cast("string"))
-    genes = M.probes_to_genes(cells(spark, d), united).select("cohort_id", F.col("gene_key").alias("feature_id"), "sample_id", "value")
+    genes = cut_lineage(M.probes_to_genes(cells(spark, d), united).select("cohort_id", F.col("gene_key").alias("feature_id"), "sample_id", "value"))
     return _r(M.log2_where_linear(genes, keep_negative=True), 6)
 
 
@@ -207,11 +212,11 @@ def _clean_brands(spark, d):
 
 
 def finalize_rows(spark, d):
-    return finalize_report(cells(spark, d), _units(spark, d), brands(spark, d), _gene_lengths(spark, d), _clean_brands(spark, d))
+    return finalize_report(ready(spark, d), _units(spark, d), brands(spark, d), _gene_lengths(spark, d), _clean_brands(spark, d))
 
 
 def finalize_cells(spark, d):
-    return finalized(cells(spark, d), _units(spark, d), brands(spark, d), _gene_lengths(spark, d), _clean_brands(spark, d))
+    return finalized(ready(spark, d), _units(spark, d), brands(spark, d), _gene_lengths(spark, d), _clean_brands(spark, d))
 
 
 QUERIES = {f.__name__: f for f in (

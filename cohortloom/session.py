@@ -10,6 +10,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def get_spark(app: str = "cohortloom", master: str | None = None, **conf: str) -> SparkSession:
@@ -70,6 +71,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Tables of at most so many narrow rows are broadcast.
+BROADCAST_ROWS = 200_000
+
+
+def bounded(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """A side of a join that is expected to be small: written once, counted, and broadcast only up to ``limit`` rows; beyond it is shuffled."""
+    written = cut_lineage(df)
+    return F.broadcast(written) if written.count() <= limit else written
+
+
 def release(spark: SparkSession) -> None:
     """Delete the intermediate tables of this session's application; frames built on them can't be read any more."""
     app = spark.sparkContext.applicationId
