@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortloom.functions.clinical import match_key
-from cohortloom.session import cut_lineage
+from cohortloom.session import cut_lineage, ranked_in
 
 # Confidence of a match by how it was made.
 CONFIDENCE = {"exact_gsm_id": 1.0, "exact": 0.95, "normalized_exact": 0.9, "substring": 0.75, "reverse_substring": 0.6, "positional_fallback": 0.5}
@@ -55,15 +55,34 @@ def collapsed_pairs(samples: DataFrame, pairs: DataFrame) -> DataFrame:
     )
 
 
-def _pieces(text: Column, lengths: list[int]) -> Column:
-    """All distinct substrings of a text that have one of the lengths."""
-    of_length = lambda n: F.transform(F.sequence(F.lit(1), F.greatest(F.length(text) - n + 1, F.lit(1))), lambda i: F.substr(text, i, n))
-    fitting = F.filter(F.array(*[F.lit(n) for n in lengths]), lambda n: n <= F.length(text))
-    return F.array_distinct(F.flatten(F.transform(fitting, of_length)))
+#: Length of the pieces of text by which containing is looked for; shorter texts are looked for whole.
+GRAM = 5
 
 
-def _lengths(df: DataFrame, column: str) -> list[int]:
-    return sorted(df.agg(F.collect_set(F.length(column)).alias("l")).first()["l"] or [])
+def _grams(text: Column, size: int) -> Column:
+    """All distinct substrings of a text that have one length."""
+    return F.when(F.length(text) >= size, F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(text) - size + 1), lambda i: F.substr(text, i, F.lit(size)))))
+
+
+def contained(parts: DataFrame, wholes: DataFrame) -> DataFrame:
+    """(cohort_id, part, whole): the distinct texts of ``parts`` (cohort_id, part) inside those of ``wholes`` (cohort_id, whole) of their cohort.
+
+    A part is looked for by the one of its pieces of ``GRAM`` signs that the fewest wholes of its
+    cohort have, then verified; so a word that all texts share joins nothing.  Parts shorter
+    than that are themselves such a piece.
+    """
+    long_parts = parts.where(F.length("part") >= GRAM)
+    of_wholes = wholes.select("cohort_id", "whole", F.explode(_grams(F.col("whole"), GRAM)).alias("gram"))
+    of_parts = long_parts.select("cohort_id", "part", F.explode(_grams(F.col("part"), GRAM)).alias("gram"))
+    counts = of_wholes.groupBy("cohort_id", "gram").agg(F.count(F.lit(1)).alias("n"))
+    # A piece that no whole has tells that the part is in none.
+    rare = of_parts.join(counts, ["cohort_id", "gram"], "left").groupBy("cohort_id", "part").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram")).alias("g")).where("g.n > 0")
+    long_pairs = rare.select("cohort_id", "part", F.col("g.gram").alias("gram")).join(of_wholes, ["cohort_id", "gram"]).where(F.col("whole").contains(F.col("part"))).select("cohort_id", "part", "whole")
+    sizes = sorted(r["n"] for r in parts.where((F.length("part") < GRAM) & (F.length("part") > 0)).select(F.length("part").alias("n")).distinct().collect())  # at most GRAM - 1 rows
+    if not sizes:
+        return long_pairs
+    short = wholes.select("cohort_id", "whole", F.explode(F.flatten(F.array_compact(F.array(*[_grams(F.col("whole"), n) for n in sizes])))).alias("part"))
+    return long_pairs.unionByName(short.join(parts.where(F.length("part") < GRAM), ["cohort_id", "part"]).select("cohort_id", "part", "whole"))
 
 
 def matched_columns(columns: DataFrame, samples: DataFrame, text_columns: list[str]) -> DataFrame:
@@ -73,30 +92,35 @@ def matched_columns(columns: DataFrame, samples: DataFrame, text_columns: list[s
     the column's name, a name that holds the text; within a level the texts in
     order.  A level and text count only if they tell exactly one sample.
 
-    All levels are equality joins: for the containing ones, of the substrings that have
-    a length in use.  Texts are counted by value before any join, so a label that
-    thousands of samples share is one row.
+    Texts are counted by value before any join, so a label that thousands of samples share is
+    one row; these counts and the names still open after the equal levels are written.
     """
     cols = columns.select("cohort_id", "expression_id", match_key(F.col("expression_id")).alias("norm"))
     texts = samples.select(
         "cohort_id", "gsm_id", F.posexplode(F.array(*[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("nan")) for c in text_columns])).alias("place", "text")
-    ).withColumn("text_norm", match_key(F.col("text")))
+    )
     one = [F.count(F.lit(1)).alias("n"), F.max("gsm_id").alias("gsm_id")]
+    many = [F.sum("n").alias("n"), F.max("gsm_id").alias("gsm_id")]
     hit = lambda df, level: df.select("cohort_id", "expression_id", F.struct(F.lit(level).alias("level"), "place", "gsm_id").alias("hit"))
 
     ids = samples.groupBy("cohort_id", F.col("gsm_id").alias("expression_id")).agg(*one).where("n = 1").withColumn("place", F.lit(-1))
-    exact = texts.groupBy("cohort_id", "place", F.col("text").alias("expression_id")).agg(*one).where("n = 1")
-    by_norm = texts.groupBy("cohort_id", "place", F.col("text_norm").alias("norm")).agg(*one)
+    by_text = cut_lineage(texts.groupBy("cohort_id", "place", "text").agg(*one).withColumn("text_norm", match_key(F.col("text"))))
+    exact = by_text.where("n = 1").withColumnRenamed("text", "expression_id")
+    by_norm = by_text.groupBy("cohort_id", "place", F.col("text_norm").alias("norm")).agg(*many)
     named = cols.where("norm <> ''")
     equal = hit(cols.join(ids, ["cohort_id", "expression_id"]), 0).unionByName(hit(cols.join(exact, ["cohort_id", "expression_id"]), 1)).unionByName(hit(named.join(by_norm.where("n = 1"), ["cohort_id", "norm"]), 2))
+    equal = cut_lineage(equal)
     left = cut_lineage(named.join(equal.select("cohort_id", "expression_id").distinct(), ["cohort_id", "expression_id"], "left_anti"))
-    open_texts = texts.join(left.select("cohort_id").distinct(), "cohort_id", "left_semi")
-    # Inside: the name is a substring of exactly one sample's text.
-    inside = open_texts.select("cohort_id", "place", "gsm_id", F.explode(_pieces(F.col("text_norm"), [n for n in _lengths(left, "norm") if n > 0] or [1])).alias("norm")).join(left.select("cohort_id", "norm").distinct(), ["cohort_id", "norm"], "left_semi").groupBy("cohort_id", "place", "norm").agg(*one).where("n = 1")
-    # Around: of all texts inside the name, exactly one sample has one.
-    parts = left.select("cohort_id", "expression_id", F.explode(_pieces(F.col("norm"), [n for n in _lengths(open_texts, "text_norm") if n > 0] or [1])).alias("norm"))
-    around = parts.join(by_norm.where("norm <> ''"), ["cohort_id", "norm"]).groupBy("cohort_id", "expression_id", "place").agg(F.sum("n").alias("n"), F.max("gsm_id").alias("gsm_id")).where("n = 1")
-    hits = equal.unionByName(hit(left.join(inside, ["cohort_id", "norm"]), 3)).unionByName(hit(around, 4))
+    names = left.select("cohort_id", "norm").distinct()
+    labels = by_text.where("text_norm <> ''").select("cohort_id", F.col("text_norm").alias("label")).distinct().join(left.select("cohort_id").distinct(), "cohort_id", "left_semi")
+    of_label = by_norm.withColumnRenamed("norm", "label")
+
+    def told_by(part: str, whole: str, parts: DataFrame, wholes: DataFrame) -> DataFrame:
+        """Names that stand in such a relation to the texts of exactly one sample."""
+        pairs = contained(parts.toDF("cohort_id", "part"), wholes.toDF("cohort_id", "whole")).toDF("cohort_id", part, whole)
+        return left.join(pairs.join(of_label, ["cohort_id", "label"]).groupBy("cohort_id", "norm", "place").agg(*many).where("n = 1"), ["cohort_id", "norm"])
+
+    hits = equal.unionByName(hit(told_by("norm", "label", names, labels), 3)).unionByName(hit(told_by("label", "norm", labels, names), 4))
     best = hits.groupBy("cohort_id", "expression_id").agg(F.min("hit").alias("hit"))
     told = F.col("hit").isNotNull()
     method = F.when(told, F.element_at(F.array(*[F.lit(m) for m in _LEVELS]), F.col("hit.level") + 1))
@@ -107,14 +131,18 @@ def matched_columns(columns: DataFrame, samples: DataFrame, text_columns: list[s
 
 
 def positional_matches(matches: DataFrame, samples: DataFrame, column_order: str = "ord", sample_order: str = "ord") -> DataFrame:
-    """Matches whose open columns are given the unused samples in order, where a cohort has as many of either."""
+    """Matches whose open columns are given the unused samples in order, where a cohort has as many of either.
+
+    ``matches`` are read several times and should be written.  Rows of equal order are
+    ranked by their id; no task ranks a whole cohort.
+    """
     used = matches.where("gsm_id is not null").select("cohort_id", "gsm_id").distinct()
-    free = samples.join(used, ["cohort_id", "gsm_id"], "left_anti").select("cohort_id", "gsm_id", F.col(sample_order).alias("o"))
+    free = samples.join(used, ["cohort_id", "gsm_id"], "left_anti").select("cohort_id", F.col("gsm_id").alias("given"), F.col(sample_order).alias("o"))
     open_cols = matches.where("gsm_id is null").select("cohort_id", "expression_id", F.col(column_order).alias("o"))
-    place = F.row_number().over(Window.partitionBy("cohort_id").orderBy("o"))
     n_free, n_open = free.groupBy("cohort_id").agg(F.count(F.lit(1)).alias("n")), open_cols.groupBy("cohort_id").agg(F.count(F.lit(1)).alias("n"))
-    gate = n_free.join(n_open, ["cohort_id", "n"]).select("cohort_id")
-    given = open_cols.join(gate, "cohort_id", "left_semi").withColumn("p", place).join(free.withColumn("p", place).select("cohort_id", "p", F.col("gsm_id").alias("given")), ["cohort_id", "p"]).select("cohort_id", "expression_id", "given")
+    gate = cut_lineage(n_free.join(n_open, ["cohort_id", "n"]).select("cohort_id"))
+    ordered = lambda df, name: ranked_in(df.join(gate, "cohort_id", "left_semi"), ["cohort_id"], ["o", name], "p").select("cohort_id", "p", name)
+    given = ordered(open_cols, "expression_id").join(ordered(free, "given"), ["cohort_id", "p"]).select("cohort_id", "expression_id", "given")
     out = matches.join(given, ["cohort_id", "expression_id"], "left")
     by_place = F.col("given").isNotNull()
     return out.select(

@@ -16,7 +16,7 @@ from cohortloom.operators import primary_file as F_primary
 from cohortloom.operators import report as R
 from cohortloom.operators import stats as S
 from cohortloom.plans.schemas import ColumnCluster, ColumnMappingPlan, SurvivalMapping
-from cohortloom.session import load
+from cohortloom.session import cut_lineage, load
 
 
 # --- classes of platforms and files --------------------------------------------------------------------------------
@@ -223,14 +223,12 @@ def _samples(spark, d):
 
 
 def sample_id_match(spark, d):
-    return P.matched_columns(_columns(spark, d), _samples(spark, d), ["title", "tissue"]).drop("ord")
+    return P.matched_columns(cut_lineage(_columns(spark, d)), cut_lineage(_samples(spark, d)), ["title", "tissue"]).drop("ord")
 
 
 def positional_match(spark, d):
-    cols, samples = _columns(spark, d), _samples(spark, d)
-    short = samples.join(cols.groupBy("cohort_id").agg(F.count(F.lit(1)).alias("n")), "cohort_id")
-    matched = P.matched_columns(cols, samples, ["title"])
-    return P.positional_matches(matched, short.drop("n")).drop("ord")
+    cols, samples = cut_lineage(_columns(spark, d)), cut_lineage(_samples(spark, d))
+    return P.positional_matches(cut_lineage(P.matched_columns(cols, samples, ["title"])), samples).drop("ord")
 
 
 def match_status(spark, d):
@@ -414,10 +412,10 @@ SQL = {
         select gse_id, 'sex:female=' || a || '/' || n || '; cell line:velotinib=' || b || '/' || n as matches from h where a > 0 and b > 0 and gse_id is not null""",
     "sample_id_match": "with " + _MATCH.format(second=_TISSUES).strip() + " select cohort_id, expression_id, gsm_id, match_method, confidence from matched",
     "positional_match": "with " + _MATCH.format(second="").strip() + """,
-        m as (select * from matched where substr(cohort_id, -1) in ('1', '3', '5')),
-        free as (select s.cohort_id, s.gsm_id, row_number() over (partition by s.cohort_id order by s.ord) as p, count(*) over (partition by s.cohort_id) as n from samples s
+        m as (select * from matched),
+        free as (select s.cohort_id, s.gsm_id, row_number() over (partition by s.cohort_id order by s.ord, s.gsm_id) as p, count(*) over (partition by s.cohort_id) as n from samples s
                  where s.cohort_id in (select cohort_id from m) and not exists (select 1 from m where m.cohort_id = s.cohort_id and m.gsm_id = s.gsm_id)),
-        opened as (select cohort_id, expression_id, row_number() over (partition by cohort_id order by ord) as p, count(*) over (partition by cohort_id) as n from m where gsm_id is null),
+        opened as (select cohort_id, expression_id, row_number() over (partition by cohort_id order by ord, expression_id) as p, count(*) over (partition by cohort_id) as n from m where gsm_id is null),
         given as (select o.cohort_id, o.expression_id, f.gsm_id from opened o join free f on o.cohort_id = f.cohort_id and o.p = f.p and o.n = f.n)
         select m.cohort_id, m.expression_id, coalesce(m.gsm_id, g.gsm_id) as gsm_id, case when g.gsm_id is not null then 'positional_fallback' else match_method end as match_method, case when g.gsm_id is not null then 0.5 else confidence end as confidence
         from m left join given g on m.cohort_id = g.cohort_id and m.expression_id = g.expression_id""",

@@ -9,7 +9,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -81,6 +81,25 @@ def bounded(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(written) if written.count() <= limit else written
 
 
+def in_slots(df: DataFrame, *order: str) -> DataFrame:
+    """``df`` with a column ``__slot``: ranges of its rows in an order, cut at sampled quantiles and numbered in that order.
+
+    A group of any size is cut into as many slots as its share asks for.  The result is written, so
+    that a row's slot is the same for all who read it.
+    """
+    return cut_lineage(df.repartitionByRange(*order).withColumn("__slot", F.spark_partition_id()))
+
+
+def ranked_in(df: DataFrame, keys: list[str], order: list[str], rank: str) -> DataFrame:
+    """``df`` with the place of each row among those of its keys, from 1; no window holds a whole group."""
+    slotted = in_slots(df, *keys, *order)
+    sizes = slotted.groupBy(*keys, "__slot").agg(F.count(F.lit(1)).alias("__n"))
+    before = F.coalesce(F.sum("__n").over(Window.partitionBy(*keys).orderBy("__slot").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = bounded(sizes.select(*keys, "__slot", before.alias("__before")))
+    inside = F.row_number().over(Window.partitionBy(*keys, "__slot").orderBy(*order))
+    return slotted.withColumn(rank, inside).join(offsets, [*keys, "__slot"]).withColumn(rank, F.col(rank) + F.col("__before")).drop("__slot", "__before")
+
+
 def release(spark: SparkSession) -> None:
     """Delete the intermediate tables of this session's application; frames built on them can't be read any more."""
     app = spark.sparkContext.applicationId
