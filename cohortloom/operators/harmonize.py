@@ -2,23 +2,30 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortloom.functions.clinical import recist, remap_event, strip_label, time_to_months
+from cohortloom.functions.clinical import event_mapping, recist, remap_event, strip_label, time_to_months
 from cohortloom.plans.schemas import ColumnCluster, ColumnMappingPlan
 
-# Column names that are always kept, and the pattern of derived ones.
-PROTECTED = {"gsm_id", "gse_id", "platform_id", "title", "organism", "expression_status", "treatment", "treatment_detail", "tumor_response", "recist"}
-PROTECTED_PATTERN = r"^(?:llm_.*|.+_(?:time|event))$"
+# Columns that tell a sample and are always kept; columns of a harmonized table that no cluster may take, and the pattern of derived ones.
+PROTECTED = {"gsm_id", "gse_id", "platform_id"}
+HARMONIZED = PROTECTED | {"title", "organism", "expression_status", "treatment", "treatment_detail", "response", "recist"}
+HARMONIZED_PATTERN = r"(?:llm_.*|.+_(?:time|event))"
 # Known names of common columns.
 ALIASES = {"gender": "sex", "sex": "sex", "age": "age", "age_yrs": "age", "age (yrs)": "age", "age_years": "age", "tissue": "tissue", "organ": "tissue", "cell type": "cell_type", "cell_type": "cell_type", "celltype": "cell_type"}
 #: Share of numbers from which a column is numeric; number of values from which it is no category.
 NUMERIC_SHARE, MOST_CATEGORIES = 0.9, 12
 
 
+def free_columns(columns: list[str]) -> list[str]:
+    """The columns that a cluster may take: none that tells a sample or that harmonization made."""
+    return [c for c in columns if c not in HARMONIZED and not re.fullmatch(HARMONIZED_PATTERN, c)]
+
+
 def _q(name: str) -> Column:
     return F.col(f"`{name}`")
 
@@ -46,8 +53,9 @@ def column_profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame
     )
 
 
-def column_summary(df: DataFrame, cohort: str, columns: list[str], k: int = 8) -> DataFrame:
-    """(column_name, cohorts, examples): each column's cohorts and its k most frequent values, ties in order of the value."""
+def column_summary(df: DataFrame, cohort: str, columns: list[str] | None = None, k: int = 8) -> DataFrame:
+    """(column_name, cohorts, examples): each column's cohorts and its k most frequent values, ties in order of the value; all free columns unless told."""
+    columns = free_columns([c for c in df.columns if c != cohort]) if columns is None else columns
     long = df.select(_q(cohort).alias("cohort"), F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), _q(c).cast("string").alias("value")) for c in columns])).alias("c")).select("cohort", "c.*").where("value is not null")
     counted = long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
     top = counted.withColumn("r", F.row_number().over(Window.partitionBy("column_name").orderBy(F.desc("n"), "value"))).where(F.col("r") <= k)
@@ -61,8 +69,13 @@ def drop_constant(df: DataFrame, protected: set[str] = PROTECTED) -> DataFrame:
     free = [c for c in df.columns if c not in protected]
     if not free:
         return df
-    flat = df.agg(*[(F.count_distinct(_q(c)) + F.max(F.when(_q(c).isNull(), 1).otherwise(0))).alias(str(i)) for i, c in enumerate(free)]).first()
-    return df.drop(*[c for i, c in enumerate(free) if (flat[i] or 0) <= 1])
+    texts = [_q(c) if t in _ORDERED or t.startswith(("decimal", "timestamp")) else F.to_json(F.struct(_q(c))) for c, t in df.dtypes if c in free]
+    facts = df.agg(*[F.struct(F.min(x).eqNullSafe(F.max(x)).alias("one"), F.count(c).alias("known"), F.count(F.lit(1)).alias("n")).alias(str(i)) for i, (x, c) in enumerate(zip(texts, map(_q, free), strict=True))]).first()
+    return df.drop(*[c for i, c in enumerate(free) if facts[i]["known"] == 0 or facts[i]["one"] and facts[i]["known"] == facts[i]["n"]])
+
+
+# Types whose least and greatest value tell whether there is only one.
+_ORDERED = {"string", "boolean", "tinyint", "smallint", "int", "bigint", "float", "double", "date"}
 
 
 def aliased(df: DataFrame, aliases: dict[str, str] = ALIASES) -> DataFrame:
@@ -111,28 +124,40 @@ def property_counts(samples: DataFrame, filters: list[tuple[str, str]], cohort:
 
 
 def clinical_columns(df: DataFrame, plan: ColumnMappingPlan) -> DataFrame:
-    """A table with treatment, treatment_detail, tumor_response and recist, and a time and event column per survival plan.
+    """A cohort's table with treatment, treatment_detail, response and recist, and a time and event column per survival plan.
 
-    Labels are stripped first; texts of several columns are joined by '; ', nulls
-    skipped; a survival pair needs both columns.  Columns a plan uses are replaced,
-    absent ones are ignored.
+    First go the redundant columns of the plan and those with one value, never one that tells
+    a sample; labels are stripped from all other texts.  Texts of several columns
+    are joined by '; ', nulls skipped; a survival pair needs both columns.  Columns a plan
+    uses are replaced by what is made of them, absent ones are ignored.
     """
-    have = set(df.columns)
-    text = lambda c: strip_label(_q(c))
-    out = df
+    return clinical_annotation(df, plan)[0]
+
+
+def clinical_annotation(df: DataFrame, plan: ColumnMappingPlan) -> tuple[DataFrame, list[str]]:
+    """``clinical_columns`` and the notes on it: those of the plan, and events whose meaning can't be read and that stay as they are."""
+    notes = [plan.notes] if plan.notes else []
+    out = drop_constant(df.drop(*[c for c in plan.redundant_columns if c not in PROTECTED]))
+    out = out.select([(_q(c) if c in PROTECTED or t != "string" else strip_label(_q(c))).alias(c) for c, t in out.dtypes])
     for name, cols in (("treatment", plan.treatment_columns), ("treatment_detail", plan.treatment_detail_columns)):
-        cols = [c for c in cols if c in have]
+        cols = [c for c in cols if c in out.columns]
         if cols:
-            out = out.withColumn(f"__{name}", F.concat_ws("; ", *[text(c) for c in cols]))
-    if plan.response_column in have:
-        out = out.withColumn("__tumor_response", text(plan.response_column)).withColumn("__recist", recist(text(plan.response_column)))
-    used = {c for c in [*plan.redundant_columns, *plan.treatment_columns, *plan.treatment_detail_columns, plan.response_column] if c in have}
+            out = _in_place_of(out, cols, {name: F.concat_ws("; ", *[_q(c).cast("string") for c in cols])})
+    if plan.response_column in out.columns:
+        text = _q(plan.response_column)
+        out = _in_place_of(out, [plan.response_column], {"response": text, "recist": recist(text)})
     for s in plan.survival:
-        if s.time_column in have and s.event_column in have:
-            out = out.withColumn(f"__{s.survival_type}_time", time_to_months(text(s.time_column), s.time_unit)).withColumn(f"__{s.survival_type}_event", remap_event(text(s.event_column), s.event_value_meaning or ""))
-            used |= {s.time_column, s.event_column}
-    out = out.drop(*used)
-    return out.select(*[_q(c).alias(c.removeprefix("__")) for c in out.columns if c.startswith("__") or f"__{c}" not in out.columns])
+        if s.time_column in out.columns and s.event_column in out.columns:
+            meaning, time, event = s.event_value_meaning or "", f"{s.survival_type}_time", f"{s.survival_type}_event"
+            out = _in_place_of(out, [s.time_column, s.event_column], {time: time_to_months(_q(s.time_column), s.time_unit), event: remap_event(_q(s.event_column), meaning)})
+            if not event_mapping(meaning):
+                notes.append(f"{event}: the meaning of its values ({meaning!r}) can't be read; they are left as they are")
+    return out, notes
+
+
+def _in_place_of(df: DataFrame, used: list[str], made: dict[str, Column]) -> DataFrame:
+    """A table with the made columns and without those they were made of."""
+    return df.select(*[_q(c) for c in df.columns if c not in used and c not in made], *[v.alias(k) for k, v in made.items()])
 
 
 def clustered(df: DataFrame, clusters: list[ColumnCluster]) -> DataFrame:
@@ -153,6 +178,75 @@ def clustered(df: DataFrame, clusters: list[ColumnCluster]) -> DataFrame:
     return out
 
 
+def cluster_notes(df: DataFrame, clusters: list[ColumnCluster]) -> DataFrame:
+    """(canonical_name, note, value, n_rows): what ``clustered`` leaves open, one row a finding.
+
+    note is ``name_taken`` (an unrelated column has the canonical name; value names the
+    columns left), ``several_values`` (rows with a value in more than one source column) or
+    ``unmapped`` (a value the mapping doesn't cover).  Nothing is collected.
+    """
+    parts, have = [], set(df.columns)
+    row = lambda name, note, value, n: F.struct(F.lit(name).alias("canonical_name"), F.lit(note).alias("note"), value.cast("string").alias("value"), n.cast("long").alias("n_rows"))
+    for c in clusters:
+        cols = [x for x in c.source_columns if x in have]
+        if not cols:
+            continue
+        if c.canonical_name in have and c.canonical_name not in cols:
+            parts.append(df.sparkSession.range(1).select(row(c.canonical_name, "name_taken", F.lit(", ".join(cols)), F.lit(0)).alias("r")))
+            continue
+        if len(cols) > 1:
+            several = sum((_q(x).isNotNull().cast("int") for x in cols), F.lit(0)) > 1
+            parts.append(df.where(several).agg(F.count(F.lit(1)).alias("n")).where("n > 0").select(row(c.canonical_name, "several_values", F.lit(", ".join(cols)), F.col("n")).alias("r")))
+        if c.value_mapping:
+            value = F.coalesce(*[_q(x).cast("string") for x in cols])
+            open_ = df.select(value.alias("v")).where(F.col("v").isNotNull() & ~F.lower(F.trim("v")).isin([k.strip().lower() for k in c.value_mapping]))
+            parts.append(open_.groupBy("v").agg(F.count(F.lit(1)).alias("n")).select(row(c.canonical_name, "unmapped", F.col("v"), F.col("n")).alias("r")))
+        have = have - set(cols) | {c.canonical_name}
+    empty = df.sparkSession.createDataFrame([], "canonical_name string, note string, value string, n_rows long")
+    return reduce(lambda a, b: a.unionByName(b), [p.select("r.*") for p in parts], empty)
+
+
+def open_mappings(df: DataFrame, clusters: list[ColumnCluster]) -> DataFrame:
+    """(canonical_name, value, n_rows): values of the clusters that still need a value mapping.
+
+    A cluster needs none with fewer than two source columns or two distinct values, or
+    where its mapping covers all of them.
+    """
+    known = [(c, [x for x in c.source_columns if x in df.columns]) for c in clusters]
+    known = [(c, cols) for c, cols in known if len(cols) > 1]
+    if not known:
+        return df.sparkSession.createDataFrame([], "canonical_name string, value string, n_rows long")
+    pairs = F.flatten(F.array(*[F.array(*[F.struct(F.lit(c.canonical_name).alias("canonical_name"), _q(x).cast("string").alias("value"), F.lower(F.trim(_q(x).cast("string"))).isin([k.strip().lower() for k in c.value_mapping] or [""]).alias("covered")) for x in cols]) for c, cols in known]))
+    counts = df.select(F.explode(pairs).alias("p")).select("p.*").where("value is not null").groupBy("canonical_name", "value").agg(F.count(F.lit(1)).alias("n_rows"), F.max("covered").alias("covered"))
+    wanting = counts.groupBy("canonical_name").agg(F.count(F.lit(1)).alias("k"), F.bool_and("covered").alias("all")).where("k > 1 and not all").select("canonical_name")
+    return counts.join(wanting, "canonical_name").select("canonical_name", "value", "n_rows")
+
+
+def with_answers(annotation: DataFrame, answers: DataFrame, key: str = "gsm_id", prefix: str = "llm_") -> DataFrame:
+    """Annotation rows with the ``llm_`` columns of their sample's answers; run again it gives the same table.
+
+    Older columns with the prefix are replaced, other columns of the answers aren't taken;
+    of several answers of one sample the first in order of its values holds.
+    """
+    taken = [c for c in answers.columns if c.startswith(prefix)]
+    one = answers.groupBy(key).agg(F.min(F.struct(*[_q(c) for c in taken])).alias("__a")) if taken else answers.select(key).distinct()
+    kept = [c for c in annotation.columns if not c.startswith(prefix)]
+    return annotation.select(*[_q(c) for c in kept]).join(one, key, "left").select(*[_q(c) for c in kept], *[F.col(f"__a.`{c}`").alias(c) for c in taken])
+
+
+def with_id_map(annotation: DataFrame, id_map: DataFrame, cohort: str = "gse_id", sample: str = "gsm_id") -> DataFrame:
+    """Annotation rows with expression_id, id_match_method and id_match_confidence of their sample; run again it gives the same table.
+
+    Of several expression columns of a sample the one of the highest confidence holds, then the first by name.
+    """
+    made = ["expression_id", "id_match_method", "id_match_confidence"]
+    best = id_map.where(_q(sample).isNotNull()).groupBy(cohort, sample).agg(F.min(F.struct((-F.col("confidence")).alias("c"), "expression_id", "match_method", "confidence")).alias("__m"))
+    kept = [c for c in annotation.columns if c not in made]
+    return annotation.select(*[_q(c) for c in kept]).join(best, [cohort, sample], "left").select(
+        *[_q(c) for c in kept], F.col("__m.expression_id").alias("expression_id"), F.col("__m.match_method").alias("id_match_method"), F.col("__m.confidence").alias("id_match_confidence")
+    )
+
+
 def fingerprint_groups(samples: DataFrame, cohort: str, sample: str, fingerprint_column: str = "fingerprint_id") -> DataFrame:
     """(cohort, fingerprint_id, n_samples, first_sample): samples of a cohort with the same characteristics.
 

@@ -136,6 +136,16 @@ def clinical_unify(spark, d):
     return H.clinical_columns(a, PLAN).withColumn("OS_time", F.round("OS_time", 6))
 
 
+NOISY_PLAN = ColumnMappingPlan(["organism", "gse_id", "platform_id"], ["drug"], ["dose_schedule"], "tumor_response", [SurvivalMapping("OS", "os_months", "days", "vital_status", "unclear"), SurvivalMapping("PFS", "os_months", "months", "vital_status", MEANING)])
+
+
+def clinical_protected(spark, d):
+    """A plan that calls id columns redundant, and a constant column that it doesn't name."""
+    a = load(spark, d, "annotation").select("row_id", "gsm_id", "gse_id", "platform_id", "organism", "sex", "drug", "dose_schedule", "tumor_response", "os_months", "vital_status", F.lit("x").alias("batch"))
+    out, notes = H.clinical_annotation(a, NOISY_PLAN)
+    return out.withColumn("OS_time", F.round("OS_time", 6)).withColumn("notes", F.lit("; ".join(notes)))
+
+
 def _lines(spark, d):
     a = load(spark, d, "annotation")
     line = lambda k, c: F.concat(F.lit(k), F.coalesce(F.col(c).cast("string"), F.lit("")))
@@ -195,6 +205,28 @@ def cluster_coalesce(spark, d):
     return H.clustered(a, CLUSTERS)
 
 
+def cluster_notes(spark, d):
+    a = load(spark, d, "annotation").select("row_id", F.when(F.col("row_id") % 2 == 0, F.col("sex")).alias("sex_a"), F.col("sex").alias("sex_b"), "tumor_response", F.col("tissue").alias("response"))
+    return H.cluster_notes(a, CLUSTERS)
+
+
+def open_mappings(spark, d):
+    a = load(spark, d, "annotation").select(F.when(F.col("row_id") % 2 == 0, F.col("sex")).alias("sex_a"), F.col("vital_status").alias("sex_b"), "tumor_response")
+    return H.open_mappings(a, CLUSTERS)
+
+
+def answers_merged(spark, d):
+    g = load(spark, d, "sample_group").select("gse_id", F.col("diagnosis").alias("llm_diagnosis"), F.col("prior_therapy").alias("llm_prior_therapy"), "tissue_class")
+    a = load(spark, d, "annotation").select("row_id", "gse_id", F.lit("old").alias("llm_diagnosis"))
+    return H.with_answers(H.with_answers(a, g, "gse_id"), g, "gse_id")
+
+
+def id_map_merged(spark, d):
+    a = load(spark, d, "annotation").select("row_id", "gse_id", "gsm_id", F.lit("old").alias("expression_id"))
+    m = load(spark, d, "sample_id_map").select("gse_id", "gsm_id", "expression_id", "match_method", "confidence")
+    return H.with_id_map(H.with_id_map(a, m), m)
+
+
 def union_schema_evolution(spark, d):
     a = load(spark, d, "annotation").select("gsm_id", "gse_id", F.col("sex").alias("Gender"), "age")
     g = load(spark, d, "sample_group").select("gse_id", "diagnosis", "tissue_class")
@@ -311,7 +343,7 @@ def moderated_t(spark, d):
 
 QUERIES = {f.__name__: f for f in (
     classify_assay, classify_vendor, array_content, coverage_bucket, platform_gate, url_extension_filter, matrix_candidates, ranked_first, primary_by_name, primary_by_content, sample_count_fit, rnaseq_library, ordered_exclusion_reason,
-    recist, event_remap, time_to_months, strip_label, species, expression_status, clinical_unify, characteristics_map, json_props, platform_details, fingerprint_groups, fingerprint_join, vocab_normalize,
+    recist, event_remap, time_to_months, strip_label, species, expression_status, clinical_unify, clinical_protected, cluster_notes, open_mappings, answers_merged, id_map_merged, characteristics_map, json_props, platform_details, fingerprint_groups, fingerprint_join, vocab_normalize,
     column_profile, column_summary_topk, distinct_listagg, cluster_coalesce, union_schema_evolution, drop_parents, sample_property_filter, sample_id_match, positional_match, match_status,
     graph_closure, graph_leaves, orphans_anti, readiness_report, catalog_search, recall_search, content_summary, equal_width_histogram, ols_two_group, bh_adjust, moderated_t,
 )}
@@ -385,8 +417,19 @@ SQL = {
     "expression_status": """select row_id, case when expression_status = 'no_expression_matrix' then 'no_expression_matrix' when coalesce(age < 85, true) = false then 'unparseable' else coalesce(nullif(concat_ws(';', case when sex = 'unknown' then 'two_channel_signal_unresolved' end,
         case when os_months > 50 then 'not_log2_transformed' end, case when tumor_response = 'PD' then 'negative_values' end, case when age > 80 then 'looks_transposed' end, case when expression_status = 'low_gene_count' then 'low_gene_count' end), ''), 'ok') end as status from annotation""",
     "clinical_unify": f"""with t as (select *, {_LABEL.format('tumor_response')} as tr, {_LABEL.format('vital_status')} as vs from annotation),
-        u as (select row_id, concat_ws('; ', {_LABEL.format('drug')}, {_LABEL.format('tissue')}) as treatment, concat_ws('; ', {_LABEL.format('dose_schedule')}) as treatment_detail, tr as tumor_response, {_RECIST.format('trim(tr)')} as recist, round(os_months, 6) as "OS_time", vs as vital_status from t)
-        select row_id, treatment, treatment_detail, tumor_response, recist, "OS_time", {_EVENT} as "OS_event" from u""",
+        u as (select row_id, concat_ws('; ', {_LABEL.format('drug')}, {_LABEL.format('tissue')}) as treatment, concat_ws('; ', {_LABEL.format('dose_schedule')}) as treatment_detail, tr as response, {_RECIST.format('trim(tr)')} as recist, round(os_months, 6) as "OS_time", vs as vital_status from t)
+        select row_id, treatment, treatment_detail, response, recist, "OS_time", {_EVENT} as "OS_event" from u""",
+    "clinical_protected": f"""select row_id, gsm_id, gse_id, platform_id, {_LABEL.format('sex')} as sex, coalesce({_LABEL.format('drug')}, '') as treatment, coalesce({_LABEL.format('dose_schedule')}, '') as treatment_detail,
+        {_LABEL.format('tumor_response')} as response, {_RECIST.format('trim(' + _LABEL.format('tumor_response') + ')')} as recist, round(os_months / 30.4375, 6) as "OS_time", {_LABEL.format('vital_status')} as "OS_event",
+        'OS_event: the meaning of its values (''unclear'') can''t be read; they are left as they are' as notes from annotation""",
+    "cluster_notes": """select 'sex' as canonical_name, 'several_values' as note, 'sex_a, sex_b' as value, count(*) as n_rows from annotation where row_id % 2 = 0 and sex is not null having count(*) > 0
+        union all select 'sex', 'unmapped', sex, count(*) from annotation where lower(trim(sex)) not in ('f', 'm') group by sex union all select 'response', 'name_taken', 'tumor_response', 0""",
+    "open_mappings": """with v as (select sex as v from annotation where row_id % 2 = 0 and sex is not null union all select vital_status from annotation where vital_status is not null), c as (select v, count(*) as n from v group by v)
+        select 'sex' as canonical_name, v as value, n as n_rows from c where (select count(*) from c) > 1 and (select count(*) from c where lower(trim(v)) not in ('f', 'm')) > 0""",
+    "answers_merged": """with g as (select *, row_number() over (partition by gse_id order by diagnosis nulls first, prior_therapy nulls first) as k from sample_group)
+        select a.row_id, a.gse_id, g.diagnosis as llm_diagnosis, g.prior_therapy as llm_prior_therapy from annotation a left join g on a.gse_id = g.gse_id and g.k = 1""",
+    "id_map_merged": """with m as (select *, row_number() over (partition by gse_id, gsm_id order by confidence desc nulls first, expression_id nulls first, match_method nulls first) as k from sample_id_map where gsm_id is not null)
+        select a.row_id, a.gse_id, a.gsm_id, m.expression_id, m.match_method as id_match_method, m.confidence as id_match_confidence from annotation a left join m on a.gse_id = m.gse_id and a.gsm_id = m.gsm_id and m.k = 1""",
     "characteristics_map": """select row_id, 'sex' as key, trim(coalesce(sex, '')) as value from annotation union all select row_id, 'drug', trim(coalesce(drug, '')) from annotation union all select row_id, 'drug_2', trim(coalesce(dose_schedule, '')) from annotation
         union all select row_id, lower(trim(split_part(coalesce(tissue, 'no tissue'), ':', 1))), case when contains(tissue, ':') then trim(regexp_replace(tissue, '^[^:]*:', '')) else '' end from annotation""",
     "json_props": "select event_id, cast(json_extract(props, '$.k') as int) as k from events",

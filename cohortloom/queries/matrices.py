@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cohortloom.functions.identifiers import assigned_entrez, assigned_symbol, first_of_packed, strip_version
 from cohortloom.operators import identifiers as I
+from cohortloom.operators import intake as T
 from cohortloom.operators import matching as P
 from cohortloom.operators import matrix as M
 from cohortloom.operators.finalize import finalize_report, finalized
@@ -219,10 +220,65 @@ def finalize_cells(spark, d):
     return finalized(ready(spark, d), _units(spark, d), brands(spark, d), _gene_lengths(spark, d), _clean_brands(spark, d))
 
 
+# --- matrix files as rows of cells ---------------------------------------------------------------------------------
+def _table(spark, d, path, header, *values):
+    """A file of all parts: its header and a row a part."""
+    text = lambda v: (v if not isinstance(v, str) else F.col(v)).cast("string")
+    body = load(spark, d, "part").select(F.lit(path).alias("path"), F.lit("").alias("member"), (F.col("p_partkey") + 1).cast("long").alias("row_ord"), F.array(*[text(v) for v in values]).alias("cells"), F.lit(None).cast("string").alias("error"))
+    return body.unionByName(spark.createDataFrame([(path, "", 0, header, None)], "path string, member string, row_ord long, cells array<string>, error string"))
+
+
+_MESSY = {
+    "/t/annotated.tsv": (["gene_id", "Symbol", "chr", "#", "S1", "S2", "fold_change"], ["p_partkey", "p_brand", F.lit, "p_partkey", "p_size", "p_retailprice", "p_size"]),
+    "/t/unnamed.tsv": (["S1", "S2"], ["p_name", "p_size", "p_retailprice"]),
+    "/t/two_headers.tsv": (["a", "b", "c", "d", "e"], ["p_name", "p_brand", "p_type", "p_type", "p_size"]),
+    "/t/texts.tsv": (["probe", "S1", "S2", "S3"], ["p_partkey", "p_size", "p_type", "p_retailprice"]),
+}
+
+
+def _messy(spark, d):
+    out = None
+    for path, (header, values) in _MESSY.items():
+        part = _table(spark, d, path, header, *[F.lit("chr1") if v is F.lit else F.when(F.col("p_size") == 7, "NA").otherwise(F.col(v).cast("string")) if v == "p_size" else v for v in values])
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def metadata_drop(spark, d):
+    plan = T.intake_plan(_messy(spark, d), ["path", "member"])
+    return plan.select("path", "id_column", F.size("samples").alias("n_samples"), F.array_join("dropped", ", ").alias("dropped"), "status", "n_rows")
+
+
+def intake_cells(spark, d):
+    rows, keys = cut_lineage(_messy(spark, d)), ["path", "member"]
+    return _r(T.intake_cells(rows, T.intake_plan(rows, keys), keys).drop("member"))
+
+
+def identifier_axis(spark, d):
+    gene = F.concat(F.lit("ENSG0000"), F.col("p_partkey").cast("string"), F.lit(".2"))
+    rows = _table(spark, d, "/t/both.tsv", ["Gene_name", "Gene_stable_ID", "S1"], "p_name", gene, "p_size").unionByName(_table(spark, d, "/t/doubled.tsv", ["x", "S1"], F.concat("p_name", F.lit("_"), "p_name"), "p_size"))
+    rows = rows.unionByName(_table(spark, d, "/t/none.tsv", ["gene_id", "S1"], F.concat(F.lit("XLOC_"), "p_partkey"), "p_size"))
+    return T.identifier_axes(rows, load(spark, d, "part").where("p_size > 30").select(F.col("p_name").alias("symbol")), ["path"])
+
+
+def _cohort_files(spark, d):
+    rows = _table(spark, d, "/data/C0/a_counts.tsv", ["gene", "S1"], "p_partkey", "p_size").unionByName(_table(spark, d, "/data/C0/b_TPM.tsv", ["gene", "chr", "S1", "S2"], "p_partkey", F.lit("1"), "p_size", "p_retailprice"))
+    rows = rows.unionByName(_table(spark, d, "/data/C1/all_diff.tsv", ["gene", "S1"], "p_partkey", "p_size")).unionByName(_table(spark, d, "/data/C2/data.txt", ["gene", "S1", "S2"], "p_partkey", F.col("p_size") / 50, F.col("p_size") / 100))
+    return cut_lineage(rows), spark.createDataFrame([("C0", 2), ("C1", 2), ("C2", 2)], "cohort_id string, n_samples int")
+
+
+def primary_matrix(spark, d):
+    return T.primary_matrices(*_cohort_files(spark, d))[0].select("cohort_id", "path", "unit", "status", "truncated")
+
+
+def primary_matrix_cells(spark, d):
+    return _r(T.primary_matrices(*_cohort_files(spark, d))[1])
+
+
 QUERIES = {f.__name__: f for f in (
     probe_to_gene_mean, probe_to_gene_join, symbol_sum_collapse, tpm, renorm_1e6, restrict_clean, needs_log2, integer_like, maybe_log2, to_linear, matrix_qc, low_feature_count, normalize_matrix,
     quantile_normalize, gene_frames_full_outer, companion_coalesce, union_first_wins, multi_platform_expression, reference_channel, companion_pairing, pair_collapse, strategy_cascade,
-    packed_record_parse, identifier_type, undouble_symbols, gene_length_median, finalize_cells,
+    packed_record_parse, identifier_type, undouble_symbols, gene_length_median, finalize_cells, metadata_drop, intake_cells, identifier_axis, primary_matrix, primary_matrix_cells,
 )} | {"first_of_packed": first_of_packed_cell, "strip_version": strip_version_id, "finalize_report": finalize_rows}
 
 _CELLS = """
@@ -260,7 +316,20 @@ kept as (select * from scaled where feature_id not in ('Brand#11', 'Brand#55')),
 million as (select cohort_id, feature_id, sample_id, value / sum(value) over (partition by cohort_id, sample_id) * 1e6 as value from kept),
 final as (select cohort_id, feature_id, sample_id, round(case when max(value) over (partition by cohort_id) > 50 then log2(value + 1) else value end, 3) as value from million)
 """
+_NA_SIZE = "case when p_size <> 7 then p_size end"
 SQL = {
+    "metadata_drop": """select path, id_column, n_samples, dropped, status, (select count(*) from part) as n_rows from (values ('/t/annotated.tsv', 'Symbol', 2, 'gene_id, chr, #, fold_change', 'ok'), ('/t/unnamed.tsv', 'gene_id', 2, '', 'ok'),
+        ('/t/two_headers.tsv', 'a', 1, '', 'refused'), ('/t/texts.tsv', 'probe', 2, 'S2', 'ok')) t(path, id_column, n_samples, dropped, status)""",
+    "intake_cells": f"""with c as (select '/t/annotated.tsv' as path, p_brand as feature_id, 'S1' as sample_id, {_NA_SIZE} as value from part union all select '/t/annotated.tsv', p_brand, 'S2', p_retailprice from part
+        union all select '/t/unnamed.tsv', p_name, 'S1', {_NA_SIZE} from part union all select '/t/unnamed.tsv', p_name, 'S2', p_retailprice from part
+        union all select '/t/texts.tsv', cast(p_partkey as varchar), 'S1', {_NA_SIZE} from part union all select '/t/texts.tsv', cast(p_partkey as varchar), 'S3', p_retailprice from part)
+        select path, feature_id, sample_id, round(cast(value as double), 4) as value from c""",
+    "identifier_axis": "select * from (values ('/t/both.tsv', 2, 'Gene_stable_ID', 'gene'), ('/t/doubled.tsv', 1, 'x', 'symbol')) t(path, place, name, id_type)",
+    "primary_matrix": """with n as (select count(*) as n from part) select 'C0' as cohort_id, '/data/C0/b_TPM.tsv' as path, 'tpm' as unit, 'ok' as status, n < 16000 as truncated from n
+        union all select 'C1', null, null, 'none', false union all select 'C2', case when n >= 1000 then '/data/C2/data.txt' end, case when n >= 1000 then 'unknown' end, case when n >= 1000 then 'ok' else 'none' end, n >= 1000 and n < 16000 from n""",
+    "primary_matrix_cells": """with c as (select 'C0' as cohort_id, cast(p_partkey as varchar) as feature_id, 'S1' as sample_id, log2(p_size + 1.0) as value from part union all select 'C0', cast(p_partkey as varchar), 'S2', log2(p_retailprice + 1) from part
+        union all select 'C2', cast(p_partkey as varchar), 'S1', p_size / 50.0 from part where (select count(*) from part) >= 1000 union all select 'C2', cast(p_partkey as varchar), 'S2', p_size / 100.0 from part where (select count(*) from part) >= 1000)
+        select cohort_id, feature_id, sample_id, round(value, 4) as value from c""",
     "probe_to_gene_mean": _CELLS + " select cohort_id, p_brand as gene_key, sample_id, round(avg(value), 5) as value from cells join part on feature_id = cast(p_partkey as varchar) group by all",
     "probe_to_gene_join": _CELLS + " select cohort_id, feature_id, p_brand as gene_key, sample_id, round(value, 4) as value from cells join part on feature_id = cast(p_partkey as varchar)",
     "symbol_sum_collapse": _CELLS + " select cohort_id, p_brand as feature_id, sample_id, round(sum(value), 4) as value from cells join part on feature_id = cast(p_partkey as varchar) group by all",

@@ -147,7 +147,7 @@ def test_plans_and_clinical(spark, tmp_path):
     df = spark.createDataFrame([("1", "h", "a", "x", "Complete response", "2", "Dead"), ("2", "h", None, None, "PR", "t: 1.5", "Alive"), ("3", "h", None, "y", None, None, None)], "gsm_id string, organism string, drug string, dose string, `tumor response` string, os string, vital string")
     plan = ColumnMappingPlan(["organism"], ["drug", "absent"], ["dose"], "tumor response", [SurvivalMapping("OS", "os", "years", "vital", "Dead=event, Alive=censored"), SurvivalMapping("PFS", "nope", "days", "vital", "")])
     got = H.clinical_columns(df, plan)
-    assert set(got.columns) == {"gsm_id", "treatment", "treatment_detail", "tumor_response", "recist", "OS_time", "OS_event"}
+    assert set(got.columns) == {"gsm_id", "treatment", "treatment_detail", "response", "recist", "OS_time", "OS_event"}
     assert {(r.gsm_id, r.treatment, r.recist, r.OS_time, r.OS_event) for r in got.collect()} == {("1", "a", "CR", 24.0, "1"), ("2", "", "PR", 18.0, "0"), ("3", "", None, None, None)}
     assert column_plan('{"treatment_columns": ["d"], "survival": [{"survival_type": "OS", "x": 1}], "y": 2}').survival == [SurvivalMapping("OS")]
     (tmp_path / "clusters.json").write_text('{"clusters": [{"canonical_name": "sex", "source_columns": ["g"]}]}')
