@@ -2,23 +2,24 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortloom.session import cut_lineage
 
 
-def closure(roots: DataFrame, edges: DataFrame, most_levels: int = 64) -> DataFrame:
+def closure(roots: DataFrame, edges: DataFrame) -> DataFrame:
     """(root, id, parent, depth): every record reached from a root, at its least depth; the first parent in order counts.
 
     ``roots`` (id), ``edges`` (parent, child).  Each level is one join with the newest
-    ids and an anti-join with those found, so cycles end by themselves; a
-    level's result is written before the next.  ``most_levels`` only guards a broken
-    input.
+    ids and an anti-join with those found, so cycles end by themselves and there are as many
+    levels as the deepest record asks for; a level's result is written before the next.
     """
     found = roots.select(F.col("id").alias("root"), "id", F.lit(None).cast(roots.schema["id"].dataType).alias("parent"), F.lit(0).alias("depth")).distinct()
     frontier = found
-    for level in range(1, most_levels + 1):
+    for level in count(1):
         step = frontier.select("root", F.col("id").alias("parent")).join(edges, "parent").groupBy("root", F.col("child").alias("id")).agg(F.min("parent").alias("parent"))
         frontier = cut_lineage(step.join(found, ["root", "id"], "left_anti").withColumn("depth", F.lit(level)).select("root", "id", "parent", "depth"))
         if frontier.isEmpty():

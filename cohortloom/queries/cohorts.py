@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -322,10 +321,15 @@ def _features(spark, d):
     return e.select(F.posexplode("embedding").alias("feature_id", "value"), F.col("vec_id").alias("sample_id"), "label").withColumn("value", F.col("value").cast("double"))
 
 
+def _groups(spark, d):
+    return load(spark, d, "embeddings").select(F.col("vec_id").alias("sample_id"), F.when(F.col("label") < 5, "a").otherwise("b").alias("group"), (F.col("label") % 2).cast("string").alias("batch"))
+
+
 def ols_two_group(spark, d):
-    x = F.when(F.col("label") < 5, 0.0).otherwise(1.0)
-    f = _features(spark, d).groupBy("feature_id").agg(F.regr_slope("value", x).alias("log_fc"), F.avg("value").alias("ave_expr"))
-    return f.select("feature_id", F.round("log_fc", 6).alias("log_fc"), F.round("ave_expr", 6).alias("ave_expr"))
+    """Coefficient, mean and ordinary t of each feature; one feature in ten lacks some cells."""
+    f = _features(spark, d).select("feature_id", "sample_id", F.when((F.col("feature_id") % 10 > 0) | (F.col("sample_id") % 3 > 0), F.col("value")).alias("value"))
+    fits = S.ordinary_t(S.linear_fits(f, S.design_of(_groups(spark, d), "group")))
+    return fits.select("feature_id", *[F.round(c, 6).alias(c) for c in ("log_fc", "ave_expr", "t")])
 
 
 def bh_adjust(spark, d):
@@ -335,10 +339,7 @@ def bh_adjust(spark, d):
 
 
 def moderated_t(spark, d):
-    e = load(spark, d, "embeddings").select("vec_id", "label")
-    samples = pd.DataFrame([(r["vec_id"], "b" if r["label"] >= 5 else "a", str(r["label"] % 2)) for r in e.collect()], columns=["id", "group", "batch"]).set_index("id")
-    design, name = S.design_matrix(samples, "group", ["batch"])
-    return S.moderated_t(_features(spark, d).select("feature_id", "sample_id", "value"), design, name)
+    return S.moderated_t(_features(spark, d).select("feature_id", "sample_id", "value"), S.design_of(_groups(spark, d), "group", ["batch"]))
 
 
 QUERIES = {f.__name__: f for f in (
@@ -363,7 +364,7 @@ _CANDIDATE = f"({_DATA} and not regexp_matches(lower(name), 'gsm\\d+|diff|deg|si
 _RANK = "case when contains(lower(name), 'tpm') then 0 when contains(lower(name), 'fpkm') then 1 when contains(lower(name), 'rpkm') then 2 when contains(lower(name), 'cpm') then 3 when contains(lower(name), 'count') then 4 else 5 end"
 _EDGES = "edges as (select cast(floor(row_id / 3) as bigint) as parent, row_id as child from series where row_id % 7 <> 0 and row_id >= 3 union all select 40, 1)"
 _CLOSURE = f"""with recursive {_EDGES},
-  walk as (select row_id as root, row_id as id, 0 as depth from series where row_id <= 5 union select w.root, e.child, w.depth + 1 from walk w join edges e on w.id = e.parent where w.depth < 40),
+  walk as (select row_id as root, row_id as id, 0 as depth from series union select w.root, e.child, w.depth + 1 from walk w join edges e on w.id = e.parent where w.depth < 40),
   least as (select root, id, min(depth) as depth from walk group by all)"""
 _MATCH = """
 cols as (select gse_id as cohort_id, expression_id, min(row_id) as ord from sample_id_map where gse_id is not null group by all),
@@ -484,8 +485,10 @@ SQL = {
         select row_id, string_agg(distinct a, ';' order by a) as array_content from s join p using (platform_id) group by row_id""",
     "equal_width_histogram": """with b as (select min(l_extendedprice) as a, max(l_extendedprice) as z, (max(l_extendedprice) - min(l_extendedprice)) / 40 as w from lineitem),
         t as (select cast(greatest(1, least(ceil((l_extendedprice - a) / w), 40)) as int) as bin, a, w from lineitem, b) select bin, round(a + (bin - 1) * w, 4) as low, round(a + bin * w, 4) as high, count(*) as n from t group by bin, a, w""",
-    "ols_two_group": """with v as (select unnest(embedding)::double as value, generate_subscripts(embedding, 1) - 1 as feature_id, case when label < 5 then 0.0 else 1.0 end as x from embeddings)
-        select cast(feature_id as int) as feature_id, round(regr_slope(value, x), 6) as log_fc, round(avg(value), 6) as ave_expr from v group by all""",
+    "ols_two_group": """with v as (select vec_id, unnest(embedding)::double as y, generate_subscripts(embedding, 1) - 1 as feature_id, case when label < 5 then 0.0 else 1.0 end as x from embeddings),
+        k as (select * from v where feature_id % 10 > 0 or vec_id % 3 > 0),
+        s as (select feature_id, regr_slope(y, x) as b, avg(y) as m, regr_sxx(y, x) as sxx, greatest(regr_syy(y, x) - regr_slope(y, x) * regr_sxy(y, x), 0) / (count(*) - 2) as s2 from k group by feature_id)
+        select cast(feature_id as int) as feature_id, round(b, 6) as log_fc, round(m, 6) as ave_expr, round(b / nullif(sqrt(s2 / sxx), 0), 6) as t from s""",
     "bh_adjust": """with p as (select o_orderkey, pow(fmod(o_totalprice, 9973) / 9973, 2) as p from orders), r as (select p, count(*) as k from p group by p), c as (select p, sum(k) over (order by p) as rank, (select count(*) from p) as n from r),
         a as (select p, min(least(p * n / rank, 1)) over (order by p desc rows unbounded preceding) as adj from c) select o_orderkey, round(adj, 6) as adj from p join a using (p)""",
 }

@@ -11,6 +11,7 @@ from cohortloom.functions import clinical as K
 from cohortloom.operators import graph as G
 from cohortloom.operators import harmonize as H
 from cohortloom.operators import identifiers as I
+from cohortloom.operators import intake as T
 from cohortloom.operators import matching as P
 from cohortloom.operators import matrix as M
 from cohortloom.operators import report as R
@@ -214,23 +215,137 @@ def test_moderated_t_recovers_signal(spark):
     x = rng.normal(8, 1, (n, 1)) + rng.normal(0, 0.3, (n, 12))
     x[:true, 6:] += rng.choice([-1, 1], (true, 1)) * rng.uniform(1.5, 3, (true, 1))
     data = spark.createDataFrame(pd.DataFrame([(f"g{i}", f"s{j}", float(x[i, j])) for i in range(n) for j in range(12)], columns=["feature_id", "sample_id", "value"]))
-    samples = pd.DataFrame({"group": ["a"] * 6 + ["b"] * 6}, index=[f"s{j}" for j in range(12)])
-    top = S.two_group(data, samples, "group").orderBy("p_value", "feature_id").limit(true).collect()
-    assert sum(int(r.feature_id[1:]) < true for r in top) >= 18
-    with pytest.raises(ValueError):
-        S.linear_fits(data, S.design_matrix(samples.iloc[:11], "group")[0], "group[b]")
+    samples = spark.createDataFrame([(f"s{j}", "a" if j < 6 else "b") for j in range(12)] + [("unmeasured", "b")], "sample_id string, group string")
+    top = S.two_group(data, samples, "group").limit(true).collect()
+    assert sum(int(r.feature_id[1:]) < true for r in top) >= 18 and [r.p_value for r in top] == sorted(r.p_value for r in top)
+    with pytest.raises(ValueError, match="without annotation"):
+        S.linear_fits(data, S.design_of(samples.where("sample_id not in ('s11', 'unmeasured')"), "group"))
     flat = data.withColumn("value", F.lit(1.0))
     assert all(math.isfinite(r.t) for r in S.two_group(flat, samples, "group").collect())
 
 
-def test_designs():
-    ann = pd.DataFrame({"g": list("aabb"), "batch": list("xyxy"), "bad": list("aabb"), "gap": ["u", None, "u", "v"]})
-    design, name = S.design_matrix(ann, "g", ["batch", "absent"])
-    assert name == "g[b]" and list(design.columns) == ["intercept", "g[b]", "batch_y"]
-    with pytest.warns(UserWarning):
-        assert list(S.design_matrix(ann, "g", ["bad"])[0].columns) == ["intercept", "g[b]"]
+def test_missing_cells_have_their_own_error(spark):
+    rng = np.random.default_rng(1)
+    y = rng.normal(5, 1, (4, 10))
+    gone = {(1, 0), (1, 1), (2, 9), (3, 5), (3, 6), (3, 7), (3, 8), (3, 9)}
+    data = spark.createDataFrame([(f"g{i}", f"s{j}", None if (i, j) in gone else float(y[i, j])) for i in range(4) for j in range(10)], "feature_id string, sample_id string, value double")
+    samples = spark.createDataFrame([(f"s{j}", "a" if j < 5 else "b") for j in range(10)], "sample_id string, group string")
+    got = {r.feature_id: r for r in S.ordinary_t(S.linear_fits(data, S.design_of(samples, "group"))).collect()}
+    for i in range(3):
+        one, two = ([y[i, j] for j in places if (i, j) not in gone] for places in (range(5), range(5, 10)))
+        s2 = (np.var(one) * len(one) + np.var(two) * len(two)) / (len(one) + len(two) - 2)
+        r = got[f"g{i}"]
+        assert (r.log_fc, r.s2, r.df) == pytest.approx((np.mean(two) - np.mean(one), s2, len(one) + len(two) - 2))
+        assert r.t == pytest.approx((np.mean(two) - np.mean(one)) / math.sqrt(s2 * (1 / len(one) + 1 / len(two))))
+    assert got["g3"].log_fc is None  # no sample of one group is left
+
+
+def test_designs(spark):
+    ann = spark.createDataFrame([("1", "a", "x", "a", "u", 1), ("2", "a", "y", "a", None, 2), ("3", "b", "x", "b", "u", 10), ("4", "b", "y", "b", "v", 2)], "sample_id string, g string, batch string, bad string, gap string, dose int")
+    d = S.design_of(ann, "g", ["batch", "absent"])
+    assert d.coefficient == "g[b]" and d.names == ["intercept", "g[b]", "batch_y"] and d.x.tolist()[1] == [1.0, 0.0, 1.0]
+    with pytest.warns(UserWarning, match="bad"):
+        assert S.design_of(ann, "g", ["bad"]).left_out == ["bad"]
+    with pytest.warns(UserWarning, match="'u'"):
+        assert S.design_of(ann, "g", ["gap"]).names == ["intercept", "g[b]", "gap_v"]
+    assert S.design_of(ann, "g", ["dose"]).names == ["intercept", "g[b]", "dose_2", "dose_10"]
+    assert S.design_of(ann, "g", reference="b").coefficient == "g[a]"
+    for wrong in (ann.withColumn("g", F.col("sample_id")), ann.withColumn("g", F.when(F.col("g") == "a", "a"))):
+        with pytest.raises(ValueError):
+            S.design_of(wrong, "g")
     with pytest.raises(ValueError):
-        S.design_matrix(ann.assign(g=list("abca")), "g")
+        S.design_of(ann, "g", reference="z")
+
+
+def test_exact_medians(spark):
+    draw = random.Random(5)
+    groups = {"few": [3.0], "even": [1.0, 2.0, 4.0, 9.0], "same": [7.0] * 50, "many": [draw.gauss(0, 1) for _ in range(1001)], "crowd": [0.0] * 30 + [1e9] + [draw.random() for _ in range(30)]}
+    df = spark.createDataFrame([(k, v) for k, vs in groups.items() for v in vs] + [("few", None), ("none", None)], "k string, v double")
+    assert {r.k: r["median"] for r in M.exact_medians(df, ["k"], "v").collect()} == pytest.approx({k: float(np.median(v)) for k, v in groups.items()})
+
+
+def test_event_meanings():
+    assert K.event_mapping("1=death, 0=censored") == {"1": 1, "0": 0}
+    assert K.event_mapping("'Dead' = event; \"Alive\"=still alive;x; =event, 2=unclear") == {"dead": 1, "alive": 0}
+    assert K.event_mapping("0=no event") == {"0": 1} and K.event_mapping("0=no event", strict=True) == {"0": 0}
+    assert K.event_mapping("") == {} and K.event_mapping(None) == {}
+
+
+def test_clinical_apply_protects_and_notes(spark):
+    df = spark.createDataFrame([("S1", "G", "P", "h", "Key: v 1", "Alive", "24.5", None), ("S2", "G", "P", "h", "Key: v 2", "Dead", "10.2", None)], "gsm_id string, gse_id string, platform_id string, organism string, info string, vital string, os string, empty string")
+    out, notes = H.clinical_annotation(df, ColumnMappingPlan(["gse_id", "platform_id"], survival=[SurvivalMapping("OS", "os", "months", "vital", ""), SurvivalMapping("PFS", "os", "months", "vital", "1=event"), SurvivalMapping("X", "os", "days", None)], notes="by hand"))
+    assert out.columns == ["gsm_id", "gse_id", "platform_id", "info", "OS_time", "OS_event"]  # organism is constant, empty too
+    assert {(r.info, r.OS_time, r.OS_event) for r in out.collect()} == {("v 1", 24.5, "Alive"), ("v 2", 10.2, "Dead")}
+    assert notes[0] == "by hand" and "OS_event" in notes[1] and len(notes) == 2
+    assert H.clinical_columns(df.limit(0), ColumnMappingPlan()).columns == ["gsm_id", "gse_id", "platform_id"]
+
+
+def test_findings_on_clusters(spark):
+    df = spark.createDataFrame([("1", "GCB", None, "x"), ("2", "germinal", "ABC", "x"), ("3", None, "odd", "x"), ("4", None, None, None)], "id string, a string, b string, taken string")
+    clusters = [ColumnCluster("coo", ["a", "b"], {"gcb": "GCB", "germinal ": "GCB"}), ColumnCluster("taken", ["a"])]
+    assert {tuple(r) for r in H.cluster_notes(df, clusters[:1]).collect()} == {("coo", "several_values", "a, b", 1), ("coo", "unmapped", "odd", 1)}
+    assert [tuple(r) for r in H.cluster_notes(df, clusters[1:]).collect()] == [("taken", "name_taken", "a", 0)]
+    assert {r.value for r in H.open_mappings(df, clusters).collect()} == {"GCB", "germinal", "ABC", "odd"}
+    assert H.open_mappings(df, [ColumnCluster("coo", ["a", "b"], dict.fromkeys(["GCB", "Germinal", "abc", "ODD"], "x"))]).collect() == []
+    assert H.free_columns(["gsm_id", "llm_x", "OS_time", "recist", "grade"]) == ["grade"]
+
+
+def test_merges_are_idempotent(spark):
+    ann = spark.createDataFrame([("S1", "G", "old"), ("S2", "G", "old"), (None, "G", "old")], "gsm_id string, gse_id string, llm_a string")
+    answers = spark.createDataFrame([("S1", "x", 1), ("S1", "y", 2)], "gsm_id string, llm_a string, other int")
+    once = H.with_answers(ann, answers)
+    assert {tuple(r) for r in once.collect()} == {tuple(r) for r in H.with_answers(once, answers).collect()} == {("S1", "G", "x"), ("S2", "G", None), (None, "G", None)}
+    ids = spark.createDataFrame([("G", "S1", "e1", "exact", 0.95), ("G", "S1", "e0", "substring", 0.75), ("G", None, "e2", "unmatched", 0.0)], "gse_id string, gsm_id string, expression_id string, match_method string, confidence double")
+    twice = H.with_id_map(H.with_id_map(ann, ids), ids)
+    assert {(r.gsm_id, r.expression_id, r.id_match_confidence) for r in twice.collect()} == {("S1", "e1", 0.95), ("S2", None, None), (None, None, None)}
+
+
+def _rows(spark, path, *lines):
+    return spark.createDataFrame([(path, "", i, [None if c is None else str(c) for c in line], None) for i, line in enumerate(lines)], "path string, member string, row_ord long, cells array<string>, error string")
+
+
+def test_intake_of_matrix_files(spark):
+    keys = ["path", "member"]
+    rows = _rows(spark, "a", ["seqnames", "strand", "gene_id", "Symbol", "HGNC", "#", "GSM1", "GSM2"], ["chr1", "+", "E1", "A1BG", "H:1", 1, 1.0, "NA"], ["chr17", "-", "E2", "TP53", "H:2", 2, 4.5, ""])
+    rows = rows.unionByName(_rows(spark, "b", [f"U{i}" for i in range(30)], ["x"] * 30, [0] * 30)).unionByName(_rows(spark, "c", ["S1", "S2"], ["g1", 1, 2], ["g2", 3, 4])).unionByName(_rows(spark, "d", ["g", "S1"]))
+    plan = T.intake_plan(rows, keys)
+    got = {r.path: r for r in plan.collect()}
+    assert (got["a"].id_column, [s.name for s in got["a"].samples], got["a"].dropped) == ("Symbol", ["GSM1", "GSM2"], ["seqnames", "strand", "gene_id", "HGNC", "#"])
+    assert got["b"].status == "refused" and "left unchanged" in got["b"].notes and got["b"].dropped == []
+    assert got["c"].id_column == "gene_id" and "no column name" in got["c"].notes and got["d"].n_rows == 0
+    cells = {(r.path, r.feature_id, r.sample_id): r.value for r in T.intake_cells(rows, plan, keys).collect()}
+    assert cells == {("a", "A1BG", "GSM1"): 1.0, ("a", "A1BG", "GSM2"): None, ("a", "TP53", "GSM1"): 4.5, ("a", "TP53", "GSM2"): None, ("c", "g1", "S1"): 1, ("c", "g1", "S2"): 2, ("c", "g2", "S1"): 3, ("c", "g2", "S2"): 4}
+    assert T.intake_plan(rows.limit(0), keys).collect() == []
+
+
+def test_axis_of_identifiers(spark):
+    known = spark.createDataFrame([("TSPAN6",), ("TNMD",)], "symbol string")
+    rows = _rows(spark, "a", ["Gene_name", "Gene_stable_ID", "S1"], ["TSPAN6", "ENSG00000000003.18", 1], ["TNMD", "ENSG00000000005", 2]).unionByName(_rows(spark, "b", ["x", "S1"], ["TSPAN6_TSPAN6", 1], ["TNMD_TNMD", 2])).unionByName(_rows(spark, "c", ["gene_id", "S1"], ["XLOC_1", 1], ["XLOC_2", 2]))
+    assert {tuple(r) for r in T.identifier_axes(rows, known, ["path"]).collect()} == {("a", 2, "Gene_stable_ID", "gene"), ("b", 1, "x", "symbol")}
+
+
+def test_primary_matrices(spark):
+    body = [[f"g{i}", i % 40, i % 30] for i in range(1200)]
+    rows = _rows(spark, "/d/A/x_counts.tsv", ["gene", "S1", "S2"], *body[:5]).unionByName(_rows(spark, "/d/A/x_FPKM.tsv", ["gene", "S1", "S2"], *[[g, a, 100] for g, a, _ in body[:5]]))
+    parts = [_rows(spark, f"/d/B/part{k}.txt", ["gene", *[f"S{k}_{i}" for i in range(20)]], *[[f"g{i}"] + [i % 9] * 20 for i in range(1000)]) for k in range(2)]
+    rows = rows.unionByName(parts[0]).unionByName(parts[1]).unionByName(_rows(spark, "/d/C/y_diff.tsv", ["gene", "S1"], ["g", 1]))
+    samples = spark.createDataFrame([("A", 2), ("B", 40), ("C", 1)], "cohort_id string, n_samples int")
+    report, final = T.primary_matrices(rows, samples)
+    got = {r.cohort_id: r for r in report.collect()}
+    assert (got["A"].path, got["A"].unit, got["A"].status, got["A"].truncated) == ("/d/A/x_FPKM.tsv", "fpkm", "ok", True) and "only 5 genes" in got["A"].notes
+    assert got["B"].status == "multi_part" and "part0.txt;part1.txt" in got["B"].notes and got["C"].status == "none"
+    assert {r.cohort_id for r in final.collect()} == {"A"} and max(r.value for r in final.collect()) == pytest.approx(math.log2(101))
+    names = spark.createDataFrame([("a.csv",), ("b.TSV.gz",), ("c.xlsx",), ("d",)], "n string").select(T.output_name(F.col("n")), T.needs_conversion(F.col("n"))).collect()
+    assert [tuple(r) for r in names] == [("a.tsv.gz", True), ("b.tsv.gz", False), ("c.tsv.gz", True), ("d.tsv.gz", False)]
+
+
+def test_containing_by_rare_pieces(spark):
+    draw = random.Random(2)
+    word = lambda: "".join(draw.choice("ab1") for _ in range(draw.randint(0, 9)))
+    parts, wholes = {("c", word()) for _ in range(80)}, {("c", word() + word()) for _ in range(60)} | {("d", "abab")}
+    got = P.contained(spark.createDataFrame(sorted(parts), "cohort_id string, part string"), spark.createDataFrame(sorted(wholes), "cohort_id string, whole string"))
+    found = [tuple(r) for r in got.collect()]
+    assert len(found) == len(set(found)) and set(found) == {(c, p, w) for c, p in parts for k, w in wholes if c == k and p and p in w}
 
 
 def test_positional_match_has_all_cohorts(spark, rows, tmp_path):
