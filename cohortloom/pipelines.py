@@ -36,7 +36,7 @@ def ask(catalog: DataFrame, text: str, plans: PlanProvider) -> DataFrame:
     organism = {"human": "homo sapiens", "mouse": "mus musculus"}.get(filters.species or "")
     hits = catalog.where(R.recall_predicate(terms, organism))
     technology = F.col("technology") if "technology" in catalog.columns else F.lit(None).cast("string")
-    classes = rule_classes(F.col("title"), F.col("summary"), F.col("organism"), technology, terms[-1] if terms else "")
+    classes = rule_classes(F.col("title"), F.col("summary"), F.col("organism"), technology, terms[-1] if terms else "", terms)
     enough = F.lit(None).cast("boolean") if filters.min_samples is None else F.col("n_samples") >= filters.min_samples
     return hits.withColumn("classes", classes).select("*", "classes.*", enough.alias("meets_min_samples")).drop("classes")
 
