@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortloom.functions.keys import NULL_MARKS, real_value
-from cohortloom.session import cut_lineage, ship
+from cohortloom.session import bounded, ship
 
 # Separators of values in a cell, the strongest first, as regular expressions by name.
 SEPARATORS = {"triple": r"///", "line": r"\r?\n", "tab": r"\t", "bar": r"\|", "semi": r";", "double": r"//", "slash": r"(?<![^ ])/(?![^ ])", "comma": r","}
@@ -189,7 +189,7 @@ def split_packed(df: DataFrame, fields: list[str], nested: tuple[str, ...] = (),
     piece_no is 1.  Quoted text isn't split and loses its quotes (doubled quotes
     become one).  Null and blank cells and null marks give no rows; repeated rows
     each give theirs; cells of any length have a skeleton and are cut whole.  Other
-    columns aren't read.  The distinct skeletons are written once with their rules.
+    columns aren't read.  The rules of the distinct skeletons are made once.
     """
     ship(df.sparkSession)
     cells = df.select(
@@ -203,8 +203,7 @@ def split_packed(df: DataFrame, fields: list[str], nested: tuple[str, ...] = (),
     def resolve(skeletons: pd.Series, is_nested: pd.Series) -> pd.Series:
         return pd.Series([record_rule(s) if n else list_rule(s) for s, n in zip(skeletons, is_nested, strict=True)], dtype="object")
 
-    rules = cut_lineage(cells.select("skeleton", "nested").distinct().withColumn("rule", resolve("skeleton", "nested")))
-    rules = F.broadcast(rules) if rules.count() <= BROADCAST_RULES else rules
+    rules = bounded(cells.select("skeleton", "nested").distinct().withColumn("rule", resolve("skeleton", "nested")), BROADCAST_RULES)
 
     @F.pandas_udf(_PIECES)
     def cut(parts: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.Series]:

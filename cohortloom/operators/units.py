@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from cohortloom.functions.clinical import DAYS, column_slug, leading_number
 from cohortloom.functions.keys import NULL_MARKS, normal_key, real_value, stripped
-from cohortloom.session import cut_lineage, ship
+from cohortloom.session import bounded, ship
 
 # Dimensions as exponents of (time, length, mass, amount, count); their base units are day, metre, gram, mole and piece.
 DIMENSIONS = {
@@ -320,11 +320,6 @@ def _plain_number(text: Column) -> Column:
     return F.replace(grouped, F.lit(","), F.lit(".")).try_cast("double")
 
 
-def _bounded(rules: DataFrame) -> DataFrame:
-    """Rules that are written already, broadcast while they are few."""
-    return F.broadcast(rules) if rules.limit(BROADCAST_RULES + 1).count() <= BROADCAST_RULES else rules
-
-
 def column_units(tables: list[tuple[DataFrame, str, str]], cohort: str = "gse_id", dimension: str = "time") -> DataFrame:
     """(cohort_key, column_name, told): the unit told for a cohort's column by unit tables, the first table first.
 
@@ -357,7 +352,7 @@ def in_common_unit(values: DataFrame, tables: list[tuple[DataFrame, str, str]],
     its column of units) in their order, and the unit in the column's name comes last.
     Nulls, null marks, words without a number, quantities of another dimension and of
     an untold unit give no row; repeated rows each give theirs.  Values of any length
-    are read whole.  The distinct shapes and names are written once with their rules.
+    are read whole.  The rules of the distinct shapes and names are made once.
     """
     ship(values.sparkSession)
     rows = values.select(F.col(row_id).alias("row_id"), normal_key(F.col(cohort)).alias("cohort_key"), F.col(name).alias("column_name"), _with_raised(F.lower(real_value(F.col(value)))).alias("raw")).where("raw is not null")
@@ -370,7 +365,7 @@ def in_common_unit(values: DataFrame, tables: list[tuple[DataFrame, str, str]],
 
     both = F.array(F.struct(F.lit(True).alias("is_shape"), F.col("shape").alias("text")), F.struct(F.lit(False).alias("is_shape"), F.col("column_name").alias("text")))
     texts = rows.select(F.explode(both).alias("t")).select("t.*").where("text is not null").distinct()
-    known = cut_lineage(texts.withColumn("rule", rule_of("text", "is_shape")).where("rule is not null"))
+    known = bounded(texts.withColumn("rule", rule_of("text", "is_shape")).where("rule is not null"), BROADCAST_RULES)
     parts = F.split("rule", ";")
     rules = known.where("is_shape").select(
         F.col("text").alias("shape"),
@@ -379,7 +374,7 @@ def in_common_unit(values: DataFrame, tables: list[tuple[DataFrame, str, str]],
         (parts[2] == "1").alias("own"),
     )
     named = known.where("not is_shape").select(F.col("text").alias("column_name"), F.col("rule").cast("double").alias("by_name"))
-    joined = rows.join(_bounded(rules), "shape").join(column_units(tables, cohort, dimension), ["cohort_key", "column_name"], "left").join(_bounded(named), "column_name", "left")
+    joined = rows.join(rules, "shape").join(column_units(tables, cohort, dimension), ["cohort_key", "column_name"], "left").join(named, "column_name", "left")
     numbers = F.transform(F.regexp_extract_all("raw", F.lit(f"({_NUMBER})")), _plain_number)
     amount = F.col("constant") + F.aggregate(F.zip_with(numbers, "factors", lambda n, f: n * f), F.lit(0.0), lambda a, b: a + b)
     return joined.select("row_id", (amount * F.when(F.col("own"), 1.0).otherwise(F.coalesce("told", "by_name"))).alias("amount")).where("amount is not null")

@@ -71,14 +71,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-#: Tables of at most so many narrow rows are broadcast.
-BROADCAST_ROWS = 200_000
+#: Tables of at most so many rows and bytes are broadcast.
+BROADCAST_ROWS, BROADCAST_BYTES = 200_000, 64 << 20
 
 
 def bounded(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """A side of a join that is expected to be small: written once, counted, and broadcast only up to ``limit`` rows; beyond it is shuffled."""
-    written = cut_lineage(df)
-    return F.broadcast(written) if written.count() <= limit else written
+    """A side of a join that is expected to be small, computed once: held by the driver and broadcast up to ``limit`` rows and 64 MB, beyond that written and shuffled."""
+    rows = df.limit(limit + 1).toArrow()
+    if rows.num_rows > limit or rows.nbytes > BROADCAST_BYTES:
+        return cut_lineage(df)
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
 
 
 def in_slots(df: DataFrame, *order: str) -> DataFrame:
