@@ -52,8 +52,9 @@ _QUOTED = r"(?<![^\s/;,|])(?:\"[^\"]*+(?:\"\"[^\"]*+)*+\"|'[^'\n]*+(?:''[^'\n]*+
 
 def _masked(cell: Column) -> Column:
     quote, code, null, word, phrase = _MASKS
-    out = F.regexp_replace(cell, _QUOTED, quote)
-    out = F.regexp_replace(out, r"(?i)(?<![^\s/;,|])(?:---|none)(?![^\s/;,|])", null)
+    # The costly patterns run only on cells that hold one of their signs.
+    out = F.when(cell.contains('"') | cell.contains("'"), F.regexp_replace(cell, _QUOTED, quote)).otherwise(cell)
+    out = F.when(out.contains("---") | F.lower(out).contains("none"), F.regexp_replace(out, r"(?i)(?<![^\s/;,|])(?:---|none)(?![^\s/;,|])", null)).otherwise(out)
     out = F.regexp_replace(out, rf"[^\s/;,|{_MASKS}0-9]*+[0-9][^\s/;,|{_MASKS}]*+", code)
     out = F.regexp_replace(out, rf"[^\s/;,|{_MASKS}]++", word)
     return F.regexp_replace(out, rf"[{code}{word}]++(?: ++[{code}{word}]++)++", phrase)
@@ -66,7 +67,8 @@ def skeleton(cell: Column, nested: Column) -> Column:
     units = F.regexp_extract_all(F.concat(masked, F.lit(_END)), F.lit(rf"[^/;,|\t\n{_END}]*+(?:///|//|/[ {_END}]?|[;,|\t\n{_END}])"), F.lit(0))
     records = F.regexp_replace(F.regexp_replace(masked, RECORD_SEPARATORS["triple"], _RECORD), rf"\r?\n(?=\s*(?:[{quote}{code}{null}{_RECORD}]|$))", _BREAK + _RECORD)
     out = F.array_join(F.array_distinct(F.when(nested, F.split(records, _RECORD)).otherwise(units)), _UNIT)
-    return F.translate(out, _MASKS, _SIGNS)
+    # A cell without separators and quotes is one piece, whatever it holds.
+    return F.when(cell.rlike("[/;,|\t\r\n\"']"), F.translate(out, _MASKS, _SIGNS)).otherwise("x")
 
 
 def list_rule(skeleton_text: str) -> str:
