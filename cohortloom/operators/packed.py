@@ -50,25 +50,25 @@ _UNIT, _RECORD, _BREAK, _END = "\x1f", "\x1e", "\x1d", "\x03"
 _QUOTED = r"(?<![^\s/;,|])(?:\"[^\"]*+(?:\"\"[^\"]*+)*+\"|'[^'\n]*+(?:''[^'\n]*+)*+')(?=[\s/;,|]|$)"
 
 
-def _masked(cell: Column) -> Column:
+def with_skeleton(df: DataFrame, cell: str = "cell", nested: str = "nested") -> DataFrame:
+    """``df`` with the skeleton of a cell: its distinct units in order, pieces with their separator, or the records of a nested field.
+
+    The steps are columns of their own, as each is used several times by the next; the costly
+    patterns run only on cells that hold one of their signs.
+    """
     quote, code, null, word, phrase = _MASKS
-    # The costly patterns run only on cells that hold one of their signs.
-    out = F.when(cell.contains('"') | cell.contains("'"), F.regexp_replace(cell, _QUOTED, quote)).otherwise(cell)
-    out = F.when(out.contains("---") | F.lower(out).contains("none"), F.regexp_replace(out, r"(?i)(?<![^\s/;,|])(?:---|none)(?![^\s/;,|])", null)).otherwise(out)
-    out = F.regexp_replace(out, rf"[^\s/;,|{_MASKS}0-9]*+[0-9][^\s/;,|{_MASKS}]*+", code)
-    out = F.regexp_replace(out, rf"[^\s/;,|{_MASKS}]++", word)
-    return F.regexp_replace(out, rf"[{code}{word}]++(?: ++[{code}{word}]++)++", phrase)
-
-
-def skeleton(cell: Column, nested: Column) -> Column:
-    """The distinct units of a cell in order: pieces with their separator, or the records of a nested field."""
-    quote, code, null, *_ = _MASKS
-    masked = _masked(cell)
-    units = F.regexp_extract_all(F.concat(masked, F.lit(_END)), F.lit(rf"[^/;,|\t\n{_END}]*+(?:///|//|/[ {_END}]?|[;,|\t\n{_END}])"), F.lit(0))
-    records = F.regexp_replace(F.regexp_replace(masked, RECORD_SEPARATORS["triple"], _RECORD), rf"\r?\n(?=\s*(?:[{quote}{code}{null}{_RECORD}]|$))", _BREAK + _RECORD)
-    out = F.array_join(F.array_distinct(F.when(nested, F.split(records, _RECORD)).otherwise(units)), _UNIT)
+    text = F.col(cell)
+    df = df.withColumn("__q", F.when(text.contains('"') | text.contains("'"), F.regexp_replace(text, _QUOTED, quote)).otherwise(text))
+    df = df.withColumn("__n", F.when(F.col("__q").rlike("---|[nN][oO][nN][eE]"), F.regexp_replace("__q", r"(?i)(?<![^\s/;,|])(?:---|none)(?![^\s/;,|])", null)).otherwise(F.col("__q")))
+    masked = F.regexp_replace("__n", rf"[^\s/;,|{_MASKS}0-9]*+[0-9][^\s/;,|{_MASKS}]*+", code)
+    masked = F.regexp_replace(masked, rf"[^\s/;,|{_MASKS}]++", word)
+    df = df.withColumn("__m", F.regexp_replace(masked, rf"[{code}{word}]++(?: ++[{code}{word}]++)++", phrase))
+    units = F.regexp_extract_all(F.concat("__m", F.lit(_END)), F.lit(rf"[^/;,|\t\n{_END}]*+(?:///|//|/[ {_END}]?|[;,|\t\n{_END}])"), F.lit(0))
+    records = F.regexp_replace(F.regexp_replace("__m", RECORD_SEPARATORS["triple"], _RECORD), rf"\r?\n(?=\s*(?:[{quote}{code}{null}{_RECORD}]|$))", _BREAK + _RECORD)
+    out = F.array_join(F.array_distinct(F.when(F.col(nested), F.split(records, _RECORD)).otherwise(units)), _UNIT)
     # A cell without separators and quotes is one piece, whatever it holds.
-    return F.when(cell.rlike("[/;,|\t\r\n\"']"), F.translate(out, _MASKS, _SIGNS)).otherwise("x")
+    out = F.when(text.rlike("[/;,|\t\r\n\"']"), F.translate(out, _MASKS, _SIGNS)).otherwise("x")
+    return df.withColumn("skeleton", out).drop("__q", "__n", "__m")
 
 
 def list_rule(skeleton_text: str) -> str:
@@ -199,7 +199,7 @@ def split_packed(df: DataFrame, fields: list[str], nested: tuple[str, ...] = (),
         F.explode(F.array(*[F.struct(F.lit(f).alias("src_field"), F.regexp_replace(F.col(f), r"^ +| +$", "").alias("cell")) for f in fields])).alias("c"),
     ).select("row_id", "c.*").where(real_value(F.col("cell")).isNotNull())
     cells = cells.withColumn("nested", F.col("src_field").isin(*nested) if nested else F.lit(False))
-    cells = cells.withColumn("skeleton", skeleton(F.col("cell"), F.col("nested")))
+    cells = with_skeleton(cells)
 
     @F.pandas_udf("string")
     def resolve(skeletons: pd.Series, is_nested: pd.Series) -> pd.Series:

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from cohortloom.operators.packed import SEPARATORS, cut_cell, skeleton, split_packed
+from cohortloom.operators.packed import SEPARATORS, cut_cell, split_packed, with_skeleton
 
 SCHEMA = "row_id long, gene_symbol string, entrez_gene_id string, gene_assignment string, cell string, rule string"
 
@@ -77,7 +77,7 @@ def test_without_rules_the_same_cells_are_cut_wrong(split):
 
 def test_skeletons_are_few(spark):
     cells = spark.range(1000).selectExpr("concat_ws(',', transform(sequence(0, id % 50), i -> concat('G', i + id))) as cell")
-    assert cells.select(skeleton(F.col("cell"), F.lit(False)).alias("s")).distinct().count() == 2
+    assert with_skeleton(cells.withColumn("nested", F.lit(False))).select("skeleton").distinct().count() == 2
 
 
 def test_long_cells_and_repeated_rows(split):
