@@ -68,7 +68,8 @@ def with_skeleton(df: DataFrame, cell: str = "cell", nested: str = "nested") ->
     out = F.array_join(F.array_distinct(F.when(F.col(nested), F.split(records, _RECORD)).otherwise(units)), _UNIT)
     # A cell without separators and quotes is one piece, whatever it holds.
     out = F.when(text.rlike("[/;,|\t\r\n\"']"), F.translate(out, _MASKS, _SIGNS)).otherwise("x")
-    return df.withColumn("skeleton", out).drop("__q", "__n", "__m")
+    # Told to be no null: a join on it would else test it for null first and make it twice.
+    return df.withColumn("skeleton", F.coalesce(out, F.lit("x"))).drop("__q", "__n", "__m")
 
 
 def list_rule(skeleton_text: str) -> str:
