@@ -309,9 +309,10 @@ _RAISED_SIGNS = {"2": "²", "3": "³", "-1": "⁻¹", "-2": "⁻²", "-3": "⁻
 
 
 def _with_raised(text: Column) -> Column:
+    out = text
     for plain, raised in _RAISED_SIGNS.items():
-        text = F.regexp_replace(text, _RAISED.format(plain), raised)
-    return text
+        out = F.regexp_replace(out, _RAISED.format(plain), raised)
+    return F.when(text.rlike("[a-zµμ][-^]?-?[123]"), out).otherwise(text)  # few values hold such a sign at all
 
 
 def _plain_number(text: Column) -> Column:
@@ -355,8 +356,10 @@ def in_common_unit(values: DataFrame, tables: list[tuple[DataFrame, str, str]],
     are read whole.  The rules of the distinct shapes and names are made once.
     """
     ship(values.sparkSession)
-    rows = values.select(F.col(row_id).alias("row_id"), normal_key(F.col(cohort)).alias("cohort_key"), F.col(name).alias("column_name"), _with_raised(F.lower(real_value(F.col(value)))).alias("raw")).where("raw is not null")
-    rows = rows.withColumn("shape", F.regexp_replace("raw", _NUMBER, "#"))
+    rows = values.select(F.col(row_id).alias("row_id"), normal_key(F.col(cohort)).alias("cohort_key"), F.col(name).alias("column_name"), F.lower(real_value(F.col(value))).alias("raw")).where("raw is not null")
+    # Told to be no nulls: a filter or join would else test them for null first and make them twice.
+    rows = rows.withColumn("raw", F.coalesce(_with_raised(F.col("raw")), F.lit("")))
+    rows = rows.withColumn("shape", F.coalesce(F.regexp_replace("raw", _NUMBER, "#"), F.lit("")))
 
     @F.pandas_udf("string")
     def rule_of(texts: pd.Series, is_shape: pd.Series) -> pd.Series:
