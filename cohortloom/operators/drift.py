@@ -17,6 +17,7 @@ import json
 import re
 from collections import Counter
 from difflib import SequenceMatcher
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -43,13 +44,21 @@ def _canon(value: object) -> str:
         return "1" if value else "0"
     if isinstance(value, list):
         return "; ".join(_canon(v) for v in value)
-    text = str(value).strip().lower()
+    return _canon_text(str(value))
+
+
+@lru_cache(maxsize=65_536)
+def _canon_text(text: str) -> str:
+    text = text.strip().lower()
     if text in TRUTH:
         return TRUTH[text]
-    number = re.fullmatch(r"([-+]?\d+(?:[.,]\d+)?(?:e[-+]?\d+)?)(?:\s*(?:[^\W\d]+|%)(?:/\w+)?\.?)?", text)
-    if number and len(text) < 40:
+    number = _QUANTITY.fullmatch(text) if len(text) < 40 else None
+    if number:
         return repr(float(number[1].replace(",", "."))).removesuffix(".0")
-    return "; ".join(re.split(r"\s*[;,|/]\s*", text))
+    return "; ".join(_LIST_SIGNS.split(text))
+
+
+_QUANTITY, _LIST_SIGNS = re.compile(r"([-+]?\d+(?:[.,]\d+)?(?:e[-+]?\d+)?)(?:\s*(?:[^\W\d]+|%)(?:/\w+)?\.?)?"), re.compile(r"\s*[;,|/]\s*")
 
 
 def _json(value: object) -> str:
@@ -61,7 +70,7 @@ def _json(value: object) -> str:
     return str(value) if isinstance(value, _Number) else json.dumps(value, ensure_ascii=False)
 
 
-def payload_cells(text: str | None) -> list[dict]:
+def payload_cells(text: str | None, with_raw: bool = True) -> list[dict]:
     """The fields of one JSON object: name (nested ones joined by '.'), type by rank, canonical value, value as written; [] if it isn't one.
 
     As written is the text of a string, and the JSON of any other value.
@@ -79,7 +88,7 @@ def payload_cells(text: str | None) -> list[dict]:
                 walk(value, full)
                 continue
             kind = 0 if value is None or isinstance(value, dict) else 1 if isinstance(value, bool) else 5 if isinstance(value, list) else 2 if isinstance(value, int) else 3 if isinstance(value, _Number) else 4
-            raw = None if not kind else value if kind == 4 and isinstance(value, str) else _json(value)
+            raw = None if not kind or not with_raw else value if kind == 4 and isinstance(value, str) else _json(value)
             out.append({"field": full, "kind": kind, "canon": _canon(value) if kind else None, "raw": raw})
 
     if isinstance(record, dict):
@@ -87,17 +96,17 @@ def payload_cells(text: str | None) -> list[dict]:
     return out
 
 
-def file_fields(records: DataFrame) -> DataFrame:
+def file_fields(records: DataFrame, with_raw: bool = True) -> DataFrame:
     """(gse_key, release_no, file_id, gsm_key, field, kind, canon, raw): one row per field and record.
 
-    canon is evidence for renames only; raw is the value as written.
+    canon is evidence for renames only; raw is the value as written, null where it isn't asked for.
     """
 
     ship(records.sparkSession)
 
     @F.pandas_udf(_CELLS)
     def decode(payloads: pd.Series) -> pd.Series:
-        return payloads.map(payload_cells)
+        return payloads.map(lambda text: payload_cells(text, with_raw))
 
     cells = records.select(
         normal_key(F.col("gse_id")).alias("gse_key"), "release_no", "file_id", normal_key(F.col("gsm_id")).alias("gsm_key"), F.explode(decode("payload")).alias("c")
@@ -278,7 +287,7 @@ def schema_changes(records: DataFrame, clusters: DataFrame, fields: DataFrame |
     ``file_fields`` where these are at hand; else they are decoded once and written.
     """
     concepts = concept_names(clusters)
-    fields = cut_lineage(file_fields(records).drop("raw")) if fields is None else fields
+    fields = cut_lineage(file_fields(records, with_raw=False).drop("raw")) if fields is None else fields
     statuses, evidence = field_evidence(fields)
 
     @F.pandas_udf("array<struct<old:string,new:string>>")
