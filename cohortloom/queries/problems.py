@@ -96,7 +96,28 @@ found as (
          case when n = 0 then 'missing' when first > loaded_at then 'late' else 'deleted' end as orphan_kind
   from judged where alive = 0)
 """
+_WORDS = {1.0: "days?|dys|dy|d", 7.0: "weeks?|wks?|w", 30.4375: "months?|mths?|mos|mo|m", 365.25: "years?|yrs?|y"}
+
+
+def _unit_in(text: str, letters: str) -> str:
+    """The size of the first kind of unit that a text holds as a word, in SQL."""
+    return "case " + " ".join(f"when regexp_matches({text}, '(^|[^{letters}])({w})([^{letters}]|$)') then {size}::double" for size, w in _WORDS.items()) + " end"
+
+
+_FOUND6 = f"""
+with r as (select row_id, {_KEY.format("gse_id")} as k, column_name as c, lower(trim(raw_time, E' \\t\\n\\r')) as t from followup where {_KEY.format("raw_time")} is not null),
+p as (select *, list_transform(regexp_extract_all(t, '[0-9]+(?:[.,][0-9]+)*'), lambda x: try_cast(replace(regexp_replace(x, ',([0-9][0-9][0-9])($|[^0-9])', '\\1\\2', 'g'), ',', '.') as double)) as n,
+         list_position(['one', 'two', 'three', 'four', 'five', 'six', 'seven', 'eight', 'nine', 'ten', 'eleven', 'twelve'], split_part(t, ' ', 1)) as word, {_unit_in("t", "a-z")} as unit from r),
+u as (select {_KEY.format("gse_id")} as k, time_column as c, lower(trim(time_unit)) as u, 0 as rank from survival_mapping union all select {_KEY.format("gse_id")}, column_name, lower(trim(unit)), 1 from numeric_column_unit),
+s as (select k, c, rank, size, count(*) as m from (select k, c, rank, {_unit_in("u", "a-z")} as size from u) where size is not null and k is not null and c is not null group by all),
+told as (select k, c, size, row_number() over (partition by k, c order by rank, m desc, size desc) as place from s),
+d as (
+  select row_id, case when len(n) = 2 and regexp_matches(t, '(years?|yrs?|y)[^a-z]') and regexp_matches(t, '(months?|mths?|mos?|m)$') then n[1] * 365.25 + n[2] * 30.4375
+         when len(n) = 1 then n[1] * coalesce(unit, size, {_unit_in("lower(p.c)", "a-z0-9")}) when len(n) = 0 and word is not null then word * unit end as days
+  from p left join told on p.k = told.k and p.c = told.c and place = 1)
+select row_id, cast(floor(round(days, 6) + 0.5) as bigint) as time_days from d where days is not null"""
 SQL = {
+    "p6_found": _FOUND6,
     "numeric_column_days": """
 with u as (select gse_id, column_name, min(unit) as unit from numeric_column_unit where unit in ('days', 'months', 'years') group by all)
 select f.row_id, f.raw_time, 'llm_' || lower(regexp_replace(regexp_replace(f.column_name, '[^0-9A-Za-z]+', '_', 'g'), '^_+|_+$', '', 'g')) || '_days' as derived_name,
