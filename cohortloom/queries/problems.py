@@ -116,7 +116,27 @@ d as (
          when len(n) = 1 then n[1] * coalesce(unit, size, {_unit_in("lower(p.c)", "a-z0-9")}) when len(n) = 0 and word is not null then word * unit end as days
   from p left join told on p.k = told.k and p.c = told.c and place = 1)
 select row_id, cast(floor(round(days, 6) + 0.5) as bigint) as time_days from d where days is not null"""
+# Quoted parts are set aside as chr(1), slots are cut at chr(2) and pieces at chr(3), then the quoted parts come back by their number.
+_FOUND5 = r"""
+with c as (
+  select row_id, 'gene_symbol' as src_field, trim(gene_symbol, ' ') as cell from platform_probe union all select row_id, 'entrez_gene_id', trim(entrez_gene_id, ' ') from platform_probe
+  union all select row_id, 'gene_assignment', trim(gene_assignment, ' ') from platform_probe),
+m as (
+  select row_id, src_field, regexp_extract_all(cell, '"(?:[^"]|"")*"|''[^'']*''') as q, array_to_string(regexp_split_to_array(cell, '"(?:[^"]|"")*"|''[^'']*'''), chr(1)) as t from c where cell is not null),
+s as (
+  select *, case when src_field = 'gene_assignment' then regexp_replace(regexp_replace(t, '(\r?\n)?[ \t]*///[ ]*(\r?\n)?|\r?\n', chr(2), 'g'), '//|\t|\|', chr(3), 'g')
+                 else regexp_replace(t, '///|//| / |^/ | /$|[;,|\t\n]', chr(2), 'g') end as cut from m),
+slots as (select row_id, src_field, q, string_split(cut, chr(2)) as a from s),
+placed as (select row_id, src_field, q, unnest(a) as slot, generate_subscripts(a, 1) as slot_no, a from slots),
+pieces as (
+  select row_id, src_field, q, slot_no, string_split(slot, chr(3)) as b, length(regexp_replace(array_to_string(a[1:slot_no - 1], ''), '[^\x01]', '', 'g')) as before from placed),
+items as (select row_id, src_field, q, slot_no, generate_subscripts(b, 1) as piece_no, unnest(b) as item, b, before from pieces),
+told as (
+  select row_id, src_field, slot_no, piece_no, case when contains(item, chr(1)) then q[before + length(regexp_replace(array_to_string(b[1:piece_no - 1], ''), '[^\x01]', '', 'g')) + 1] end as quoted, trim(item, E' \t\r\n') as item from items),
+final as (select row_id, src_field, slot_no, piece_no, case when quoted is null then item else trim(replace(quoted[2:-2], repeat(quoted[1], 2), quoted[1])) end as item from told)
+select row_id, src_field, cast(slot_no as int) as slot_no, cast(piece_no as int) as piece_no, item from final where upper(item) not in ('---', '', 'NONE')"""
 SQL = {
+    "p5_found": _FOUND5,
     "p6_found": _FOUND6,
     "numeric_column_days": """
 with u as (select gse_id, column_name, min(unit) as unit from numeric_column_unit where unit in ('days', 'months', 'years') group by all)
