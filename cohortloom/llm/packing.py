@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortloom.llm.tokens import TOKENIZER_DIR, token_counts
-from cohortloom.session import cut_lineage
+from cohortloom.session import cut_lineage, ship
 
 #: About so many documents are ranked in one group.
 RANK_GROUP = 200_000
@@ -139,6 +139,7 @@ def pack(lengths: DataFrame, capacity: int = 2048) -> DataFrame:
     (container 0 if there is no other).  Repeated doc_ids are packed each; null
     lengths count as 0; an empty table gives no rows.
     """
+    ship(lengths.sparkSession)
     n = F.coalesce(F.col("n_tokens"), F.lit(0))
     cuts = F.sequence(F.lit(0), F.greatest(F.ceil(n / capacity) - 1, F.lit(0)).cast("int"))
     items = lengths.select("doc_id", n.alias("n"), F.explode(cuts).alias("piece_no")).select(

@@ -13,7 +13,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortloom.session import spread
+from cohortloom.session import ship, spread
 
 #: Folder of the vocabulary files, the same on every worker; a parameter of every function here.
 TOKENIZER_DIR = "/opt/tokenizers"
@@ -64,6 +64,7 @@ def token_ids(documents: DataFrame, tokenizer: str = "byte_bpe_50k", folder: str
 
     A map of two columns, without a shuffle where there are files enough.  Repeated rows each give theirs.
     """
+    ship(documents.sparkSession)
 
     @F.pandas_udf("array<int>")
     def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -77,6 +78,7 @@ def token_ids(documents: DataFrame, tokenizer: str = "byte_bpe_50k", folder: str
 
 def token_counts(documents: DataFrame, tokenizer: str = "byte_bpe_50k", folder: str = TOKENIZER_DIR, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """(doc_id, n_tokens): the lengths alone, so that no ids leave the workers."""
+    ship(documents.sparkSession)
 
     @F.pandas_udf("int")
     def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -90,6 +92,7 @@ def token_counts(documents: DataFrame, tokenizer: str = "byte_bpe_50k", folder:
 
 def decoded_texts(encoded: DataFrame, tokenizer: str = "byte_bpe_50k", folder: str = TOKENIZER_DIR) -> DataFrame:
     """(doc_id, text) of (doc_id, ids); bytes that are no UTF-8 (a cut character) become U+FFFD, null ids a null text."""
+    ship(encoded.sparkSession)
 
     @F.pandas_udf("string")
     def text(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
