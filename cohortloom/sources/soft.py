@@ -15,6 +15,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortloom.session import ship
+
 META = "path string, gse_id string, entity string, entity_id string, key string, ord int, value string"
 CELLS = "path string, gse_id string, entity string, entity_id string, row_ord long, column string, value string"
 
@@ -51,6 +53,7 @@ def _events(content: bytes) -> Iterator[tuple]:
 
 
 def _files(spark: SparkSession, path: str) -> DataFrame:
+    ship(spark)
     return spark.read.format("binaryFile").load(path).select("path", "content")
 
 

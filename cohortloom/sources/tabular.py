@@ -15,6 +15,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohortloom.session import ship
+
 # Texts that tables use for a missing value.
 MISSING = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
 ROWS = "path string, member string, row_ord long, cells array<string>, error string"
@@ -109,6 +111,7 @@ def read_rows(spark: SparkSession, path: str) -> DataFrame:
                         rows = [(file, member, 0, None, type(e).__name__)]
                     yield pd.DataFrame(rows, columns=names)
 
+    ship(spark)
     return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(parse, ROWS)
 
 
@@ -124,6 +127,7 @@ def member_list(spark: SparkSession, path: str) -> DataFrame:
                     rows = []
                 yield pd.DataFrame(rows, columns=["path", "member", "n_bytes"])
 
+    ship(spark)
     return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(parse, "path string, member string, n_bytes long")
 
 
